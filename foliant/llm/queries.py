@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import near_dup
+from . import bpe, near_dup
 
 
 def _table(spark, sf_dir, name):
@@ -16,6 +16,16 @@ def op10_simhash_near_dup(spark, sf_dir):
     return found.select(F.col("id").alias("doc_id"), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), F.col("component").alias("component_id"))
 
 
-QUERIES = {f.__name__: f for f in (op10_simhash_near_dup,)}
+def _tokenizer(name):
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op4_tokenization_automaton(spark, sf_dir):
+    return bpe.digests(_table(spark, sf_dir, "documents"), _tokenizer("word_bpe_49k.json")).withColumnRenamed("id", "doc_id")
+
+
+QUERIES = {f.__name__: f for f in (op4_tokenization_automaton, op10_simhash_near_dup)}
 
 ORACLES: dict[str, str] = {}
