@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import bpe, near_dup
+from . import bpe, near_dup, packing
 
 
 def _table(spark, sf_dir, name):
@@ -26,6 +26,10 @@ def op4_tokenization_automaton(spark, sf_dir):
     return bpe.digests(_table(spark, sf_dir, "documents"), _tokenizer("word_bpe_49k.json")).withColumnRenamed("id", "doc_id")
 
 
-QUERIES = {f.__name__: f for f in (op4_tokenization_automaton, op10_simhash_near_dup)}
+def op9_mixture_packing(spark, sf_dir):
+    return packing.packed(_table(spark, sf_dir, "documents"), _tokenizer("byte_bpe_50k.json")).withColumnRenamed("id", "doc_id")
+
+
+QUERIES = {f.__name__: f for f in (op4_tokenization_automaton, op9_mixture_packing, op10_simhash_near_dup)}
 
 ORACLES: dict[str, str] = {}
