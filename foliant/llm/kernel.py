@@ -161,13 +161,14 @@ def anchors(symbols: np.ndarray, offs: np.ndarray, window: int, gram: int):
     Every window has one anchor, its leftmost smallest ``gram``-symbol hash, so
     equal windows share the anchor's content and its place inside the window.
     Returns per anchor run: document index, first and last window start ``lo``,
-    ``hi`` (in flat symbols), ``key`` (the gram's hash) and ``sig`` (the hash of
-    everything its windows cover, by another base).
+    ``hi`` and the anchor's place ``at`` (in flat symbols), ``key`` (the gram's
+    hash) and ``sig`` (the hash of everything its windows cover, by another base).
     """
     n = len(symbols)
     empty = np.zeros(0, np.int64)
+    none = empty, empty, empty, empty, empty.astype(U64), empty.astype(U64)
     if n < window:
-        return empty, empty, empty, empty.astype(U64), empty.astype(U64)
+        return none
     one, two = Rolling(symbols), Rolling(mix(symbols), POWERS2)
     at = np.arange(n - gram + 1)
     grams = one.of(at, at + gram)
@@ -176,14 +177,14 @@ def anchors(symbols: np.ndarray, offs: np.ndarray, window: int, gram: int):
     valid = docs[: n - window + 1] == docs[window - 1 :]
     start = np.flatnonzero(valid)
     if not len(start):
-        return empty, empty, empty, empty.astype(U64), empty.astype(U64)
+        return none
     anchor = pick[start]
     new = np.ones(len(start), bool)
     new[1:] = (anchor[1:] != anchor[:-1]) | (docs[start[1:]] != docs[start[:-1]])
     first = np.flatnonzero(new)
     lo = start[first]
     hi = start[np.append(first[1:], len(start)) - 1]
-    return docs[lo], lo, hi, grams[anchor[first]], two.of(lo, hi + window)
+    return docs[lo], lo, hi, anchor[first], grams[anchor[first]], two.of(lo, hi + window)
 
 
 def signed(x: np.ndarray) -> np.ndarray:

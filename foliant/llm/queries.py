@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import bpe, near_dup, packing
+from . import bpe, near_dup, packing, substrings
 
 
 def _table(spark, sf_dir, name):
@@ -26,10 +26,37 @@ def op4_tokenization_automaton(spark, sf_dir):
     return bpe.digests(_table(spark, sf_dir, "documents"), _tokenizer("word_bpe_49k.json")).withColumnRenamed("id", "doc_id")
 
 
+def op6_substring_doubling(spark, sf_dir):
+    found = substrings.deduplicated(_table(spark, sf_dir, "documents"), digest=True)
+    return found.toDF("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+OP6_SQL = """
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS ws FROM documents
+), h AS (
+  SELECT doc_id, list_transform(range(1, greatest(len(ws) - 48, 1)), lambda i: md5(array_to_string(ws[i:i + 49], ' '))) AS hs FROM d
+), g AS (
+  SELECT doc_id, unnest(hs) AS h, unnest(range(1, len(hs) + 1)) AS i FROM h
+), m AS (
+  SELECT doc_id, i, CASE WHEN min(doc_id) OVER (PARTITION BY h) < doc_id THEN 1 ELSE 0 END AS bad FROM g
+), w AS (
+  SELECT doc_id, unnest(ws) AS word, unnest(range(1, len(ws) + 1)) AS i FROM d
+), f AS (
+  SELECT doc_id, i, word,
+         coalesce(max(bad) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN 49 PRECEDING AND CURRENT ROW), 0) AS gone
+  FROM w LEFT JOIN m USING (doc_id, i)
+)
+SELECT d.doc_id, count(word)::BIGINT AS n_words, coalesce(sum(gone), 0)::BIGINT AS n_removed,
+       sha256(coalesce(string_agg(word, ' ' ORDER BY i) FILTER (WHERE gone = 0), '')) AS kept_sha256
+FROM d LEFT JOIN f USING (doc_id) GROUP BY d.doc_id
+"""
+
+
 def op9_mixture_packing(spark, sf_dir):
     return packing.packed(_table(spark, sf_dir, "documents"), _tokenizer("byte_bpe_50k.json")).withColumnRenamed("id", "doc_id")
 
 
-QUERIES = {f.__name__: f for f in (op4_tokenization_automaton, op9_mixture_packing, op10_simhash_near_dup)}
+QUERIES = {f.__name__: f for f in (op4_tokenization_automaton, op6_substring_doubling, op9_mixture_packing, op10_simhash_near_dup)}
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op6_substring_doubling": OP6_SQL}
