@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import bpe, near_dup, packing, substrings
+from . import bpe, near_dup, packing, substrings, suffixes
 
 
 def _table(spark, sf_dir, name):
@@ -53,10 +53,38 @@ FROM d LEFT JOIN f USING (doc_id) GROUP BY d.doc_id
 """
 
 
+def op8_suffix_array_dedup(spark, sf_dir):
+    found = suffixes.deduplicated(_table(spark, sf_dir, "documents"), digest=True)
+    return found.toDF("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+OP8_SQL = """
+WITH d AS (
+  SELECT doc_id, hex(encode(coalesce(text, ''))) AS hx FROM documents
+), h AS (
+  SELECT doc_id, list_transform(range(0, greatest(length(hx) // 2 - 399, 0)), lambda i: md5(substring(hx, 2 * i + 1, 800))) AS hs FROM d
+), g AS (
+  SELECT doc_id, unnest(hs) AS h, unnest(range(0, len(hs))) AS i FROM h
+), m AS (
+  SELECT doc_id, i, CASE WHEN count(*) OVER (PARTITION BY h) > 1 THEN 1 ELSE 0 END AS bad FROM g
+), b AS (
+  SELECT doc_id, unnest(list_transform(range(0, length(hx) // 2), lambda i: substring(hx, 2 * i + 1, 2))) AS x, unnest(range(0, length(hx) // 2)) AS i FROM d
+), f AS (
+  SELECT doc_id, i, x, coalesce(max(bad) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN 399 PRECEDING AND CURRENT ROW), 0) AS gone
+  FROM b LEFT JOIN m USING (doc_id, i)
+), e AS (
+  SELECT *, CASE WHEN gone = 1 AND coalesce(lag(gone) OVER (PARTITION BY doc_id ORDER BY i), 0) = 0 THEN 1 ELSE 0 END AS head FROM f
+)
+SELECT d.doc_id, count(x)::BIGINT AS n_bytes, coalesce(sum(gone), 0)::BIGINT AS n_removed, coalesce(sum(head), 0)::BIGINT AS n_spans,
+       sha256(unhex(coalesce(string_agg(x, '' ORDER BY i) FILTER (WHERE gone = 0), ''))) AS kept_sha256
+FROM d LEFT JOIN e USING (doc_id) GROUP BY d.doc_id
+"""
+
+
 def op9_mixture_packing(spark, sf_dir):
     return packing.packed(_table(spark, sf_dir, "documents"), _tokenizer("byte_bpe_50k.json")).withColumnRenamed("id", "doc_id")
 
 
-QUERIES = {f.__name__: f for f in (op4_tokenization_automaton, op6_substring_doubling, op9_mixture_packing, op10_simhash_near_dup)}
+QUERIES = {f.__name__: f for f in (op4_tokenization_automaton, op6_substring_doubling, op8_suffix_array_dedup, op9_mixture_packing, op10_simhash_near_dup)}
 
-ORACLES: dict[str, str] = {"op6_substring_doubling": OP6_SQL}
+ORACLES: dict[str, str] = {"op6_substring_doubling": OP6_SQL, "op8_suffix_array_dedup": OP8_SQL}
