@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import bpe, near_dup, packing, substrings, suffixes
+from . import bpe, near_dup, packing, sharding, substrings, suffixes
 
 
 def _table(spark, sf_dir, name):
@@ -16,6 +16,13 @@ def op10_simhash_near_dup(spark, sf_dir):
     return found.select(F.col("id").alias("doc_id"), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), F.col("component").alias("component_id"))
 
 
+def op1_histogram_sort(spark, sf_dir):
+    found = sharding.sharded(_table(spark, sf_dir, "documents"))
+    return found.select(
+        F.col("id").alias("doc_id"), "size", F.col("crc").alias("text_crc32"), F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
+    )
+
+
 def _tokenizer(name):
     import public_tokenizers
 
@@ -85,6 +92,6 @@ def op9_mixture_packing(spark, sf_dir):
     return packing.packed(_table(spark, sf_dir, "documents"), _tokenizer("byte_bpe_50k.json")).withColumnRenamed("id", "doc_id")
 
 
-QUERIES = {f.__name__: f for f in (op4_tokenization_automaton, op6_substring_doubling, op8_suffix_array_dedup, op9_mixture_packing, op10_simhash_near_dup)}
+QUERIES = {f.__name__: f for f in (op1_histogram_sort, op4_tokenization_automaton, op6_substring_doubling, op8_suffix_array_dedup, op9_mixture_packing, op10_simhash_near_dup)}
 
 ORACLES: dict[str, str] = {"op6_substring_doubling": OP6_SQL, "op8_suffix_array_dedup": OP8_SQL}
