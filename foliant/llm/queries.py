@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import bpe, near_dup, packing, sharding, substrings, suffixes
+from . import bpe, knn, near_dup, packing, sharding, substrings, suffixes, warc
 
 
 def _table(spark, sf_dir, name):
@@ -33,6 +33,39 @@ def op4_tokenization_automaton(spark, sf_dir):
     return bpe.digests(_table(spark, sf_dir, "documents"), _tokenizer("word_bpe_49k.json")).withColumnRenamed("id", "doc_id")
 
 
+def op5_voronoi_knn(spark, sf_dir):
+    return knn.top_k(_table(spark, sf_dir, "embeddings"))
+
+
+OP5_SQL = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT q.vec_id AS query_id, v.vec_id, list_inner_product(q.e, v.e)::BIGINT AS score
+  FROM v AS q, v WHERE q.vec_id % 50 = 0 AND q.vec_id <> v.vec_id
+), r AS (
+  SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score FROM s
+)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
+"""
+
+
+def op7_legacy_archive_converter(spark, sf_dir):
+    return warc.converted(_table(spark, sf_dir, "pages")).drop("payload")
+
+
+OP7_SQL = """
+WITH p AS (
+  SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages
+), f AS (
+  SELECT *, CASE WHEN payload_bytes >= 100 THEN min(page_id) OVER (PARTITION BY payload_digest) ELSE page_id END AS first FROM p
+)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN first < page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN first < page_id THEN first END AS refers_to FROM f
+"""
+
+
 def op6_substring_doubling(spark, sf_dir):
     found = substrings.deduplicated(_table(spark, sf_dir, "documents"), digest=True)
     return found.toDF("doc_id", "n_words", "n_removed", "kept_sha256")
@@ -92,6 +125,6 @@ def op9_mixture_packing(spark, sf_dir):
     return packing.packed(_table(spark, sf_dir, "documents"), _tokenizer("byte_bpe_50k.json")).withColumnRenamed("id", "doc_id")
 
 
-QUERIES = {f.__name__: f for f in (op1_histogram_sort, op4_tokenization_automaton, op6_substring_doubling, op8_suffix_array_dedup, op9_mixture_packing, op10_simhash_near_dup)}
+QUERIES = {f.__name__: f for f in (op1_histogram_sort, op4_tokenization_automaton, op5_voronoi_knn, op6_substring_doubling, op7_legacy_archive_converter, op8_suffix_array_dedup, op9_mixture_packing, op10_simhash_near_dup)}
 
-ORACLES: dict[str, str] = {"op6_substring_doubling": OP6_SQL, "op8_suffix_array_dedup": OP8_SQL}
+ORACLES: dict[str, str] = {"op5_voronoi_knn": OP5_SQL, "op7_legacy_archive_converter": OP7_SQL, "op6_substring_doubling": OP6_SQL, "op8_suffix_array_dedup": OP8_SQL}
