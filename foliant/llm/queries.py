@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import bpe, knn, near_dup, packing, sharding, substrings, suffixes, warc
+from . import bpe, knn, near_dup, packing, perplexity, secrets, sharding, substrings, suffixes, warc
 
 
 def _table(spark, sf_dir, name):
@@ -23,6 +23,18 @@ def op1_histogram_sort(spark, sf_dir):
     )
 
 
+def op2_perplexity_quality(spark, sf_dir):
+    found = perplexity.judged(_table(spark, sf_dir, "documents"))
+    return found.select(F.col("id").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "log_ppl")
+
+
+def op3_secret_forest(spark, sf_dir):
+    """Per document: candidates, confirmed secrets, their spans, and the digest of the masked text."""
+    found = secrets.scanned(_table(spark, sf_dir, "documents"))
+    spans = F.transform("findings", lambda f: F.concat_ws("-", f["start"], f["end"]))
+    return found.select(F.col("id").alias("doc_id"), "n_candidates", F.size("findings").cast("long").alias("n_secrets"), F.concat_ws(",", spans).alias("spans"), F.sha2(F.coalesce("masked", F.lit("")), 256).alias("masked_sha256"))
+
+
 def _tokenizer(name):
     import public_tokenizers
 
@@ -125,6 +137,6 @@ def op9_mixture_packing(spark, sf_dir):
     return packing.packed(_table(spark, sf_dir, "documents"), _tokenizer("byte_bpe_50k.json")).withColumnRenamed("id", "doc_id")
 
 
-QUERIES = {f.__name__: f for f in (op1_histogram_sort, op4_tokenization_automaton, op5_voronoi_knn, op6_substring_doubling, op7_legacy_archive_converter, op8_suffix_array_dedup, op9_mixture_packing, op10_simhash_near_dup)}
+QUERIES = {f.__name__: f for f in (op1_histogram_sort, op2_perplexity_quality, op3_secret_forest, op4_tokenization_automaton, op5_voronoi_knn, op6_substring_doubling, op7_legacy_archive_converter, op8_suffix_array_dedup, op9_mixture_packing, op10_simhash_near_dup)}
 
 ORACLES: dict[str, str] = {"op5_voronoi_knn": OP5_SQL, "op7_legacy_archive_converter": OP7_SQL, "op6_substring_doubling": OP6_SQL, "op8_suffix_array_dedup": OP8_SQL}

@@ -22,10 +22,10 @@ from .shared import written
 LAST = 2**63 - 1
 
 
-def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(uid, doc, text).  uid tells rows of one id with different texts apart; a null id sorts last."""
-    frame = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    return frame.select(F.xxhash64("id", "text").alias("uid"), "id", F.coalesce("id", F.lit(LAST)).alias("doc"), "text")
+def keyed(docs: DataFrame, id_col: str, text_col: str, carry: tuple[str, ...] = ()) -> DataFrame:
+    """(uid, id, doc, text), then ``carry``.  uid tells rows of one id with different texts apart; a null id sorts last."""
+    frame = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"), *[F.col(c).alias(f"k_{c}") for c in carry])
+    return frame.select(F.xxhash64("id", "text").alias("uid"), "id", F.coalesce("id", F.lit(LAST)).alias("doc"), "text", *[f"k_{c}" for c in carry])
 
 
 def runs(docs: DataFrame, symbols, window: int, gram: int) -> DataFrame:

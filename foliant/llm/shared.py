@@ -40,3 +40,8 @@ def removed(spark: SparkSession, *tables: DataFrame) -> None:
         for parent in {f.rsplit("/", 1)[0] for f in table.inputFiles()}:
             path = spark._jvm.org.apache.hadoop.fs.Path(parent)
             path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def kept_types(frame: DataFrame, first: int) -> str:
+    """The schema string of a frame's columns from the given one on, with a leading comma each: columns that pass through."""
+    return "".join(f", {f.name} {f.dataType.simpleString()}" for f in frame.schema.fields[first:])

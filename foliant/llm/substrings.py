@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from . import kernel as K
 from .repeats import classes, keyed, runs, windows_of
-from .shared import written
+from .shared import kept_types, written
 
 WINDOW = 50
 
@@ -47,14 +47,14 @@ def removals(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     return whole.union(single).groupBy("uid").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
 
 
-def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, digest: bool = False) -> DataFrame:
-    """(id, n_words, n_removed, kept): kept holds the kept words, joined by one space (or their digest).
+def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, digest: bool = False, carry: tuple[str, ...] = ()) -> DataFrame:
+    """(id, n_words, n_removed, kept): kept holds the kept words, joined by one space (or their digest).  ``carry`` passes columns through, as k_<name>.
 
     A word goes if a window of ``window`` words that covers it also starts in a
     document with a smaller id.  Null ids count as larger than any other, null
     texts as empty; repeated rows of one id do not remove each other.
     """
-    rows = keyed(docs, id_col, text_col)
+    rows = keyed(docs, id_col, text_col, carry)
     spans = written(removals(rows, window), "spans")
 
     def run(batches):
@@ -73,7 +73,7 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 out = [raw[begin[x] : end[y]] if y > x else b"" for x, y in zip(total[:-1].tolist(), total[1:].tolist())]
                 out = [hashlib.sha256(x).hexdigest() for x in out] if digest else [x.decode() for x in out]
                 n = np.diff(cut)
-                yield pa.RecordBatch.from_arrays([batch.column(0)[a:b], pa.array(n), pa.array(n - np.diff(total)), pa.array(out, pa.string())], ["id", "n_words", "n_removed", "kept"])
+                yield pa.RecordBatch.from_arrays([batch.column(0)[a:b], pa.array(n), pa.array(n - np.diff(total)), pa.array(out, pa.string()), *(c[a:b] for c in batch.columns[3:])], ["id", "n_words", "n_removed", "kept", *batch.schema.names[3:]])
 
-    joined = rows.join(spans, "uid", "left").select("id", "text", "spans")
-    return joined.mapInArrow(run, "id long, n_words long, n_removed long, kept string")
+    joined = rows.join(spans, "uid", "left").select("id", "text", "spans", *[f"k_{c}" for c in carry])
+    return joined.mapInArrow(run, "id long, n_words long, n_removed long, kept string" + kept_types(joined, 3))
