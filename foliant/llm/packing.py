@@ -170,34 +170,38 @@ class Schedule:
             at = at + (self.served(j, rounds + 1) if j < s else self.served(j, rounds))
         return at
 
-    def pieces(self, s: int, place: int, n: int):
-        """(start, length, stream place) of the document's pieces, cut at rounds and at windows."""
-        first, last = (int(x) for x in self.round_of(s, np.array([place, place + n - 1])))
-        if last - first < n:
-            rounds = np.arange(first, last + 1)
-            begin = np.maximum(self.served(s, rounds), place)
-            end = np.minimum(self.served(s, rounds + 1), place + n)
+    def pieces(self, s: int, place: np.ndarray, n: np.ndarray):
+        """(document index, start, length, stream place) of the documents' pieces, cut at rounds and at windows."""
+        if self.totals[s] * self.window >= self.all:
+            first, last = self.round_of(s, place), self.round_of(s, place + n - 1)
+            count = last - first + 1
+            doc = np.repeat(np.arange(len(place)), count)
+            rounds = K.ragged(first, count)
+            begin = np.maximum(self.served(s, rounds), place[doc])
+            end = np.minimum(self.served(s, rounds + 1), (place + n)[doc])
             some = end > begin
-            rounds, begin, end = rounds[some], begin[some], end[some]
+            doc, rounds, begin, end = doc[some], rounds[some], begin[some], end[some]
         else:  # less than a token a round: look at tokens, not rounds
-            begin = place + np.arange(n)
+            doc = np.repeat(np.arange(len(place)), n)
+            begin = K.ragged(place, n)
             end = begin + 1
             rounds = self.round_of(s, begin)
         at = self.stream(s, begin, rounds)
         size = end - begin
         parts = (at + size - 1) // self.window - at // self.window + 1
-        k = np.arange(int(parts.sum())) - np.repeat(np.cumsum(parts) - parts, parts)
-        at0, begin0, size0 = np.repeat(at, parts), np.repeat(begin, parts), np.repeat(size, parts)
-        lo = np.maximum(at0, (at0 // self.window + k) * self.window)
-        hi = np.minimum(at0 + size0, (at0 // self.window + k + 1) * self.window)
-        start = begin0 + lo - at0 - place
+        k = K.ragged(np.zeros_like(parts), parts)
+        r = np.repeat(np.arange(len(parts)), parts)
+        lo = np.maximum(at[r], (at[r] // self.window + k) * self.window)
+        hi = np.minimum(at[r] + size[r], (at[r] // self.window + k + 1) * self.window)
+        doc = doc[r]
+        start = begin[r] + lo - at[r] - place[doc]
         length = hi - lo
         if len(start) > 1:  # neighbours in the stream are one piece
-            joined = (lo[1:] == hi[:-1]) & (lo[1:] % self.window != 0)
+            joined = (lo[1:] == hi[:-1]) & (lo[1:] % self.window != 0) & (doc[1:] == doc[:-1])
             head = np.flatnonzero(np.append(True, ~joined))
             length = np.add.reduceat(length, head)
-            start, lo = start[head], lo[head]
-        return start, length, lo
+            doc, start, lo = doc[head], start[head], lo[head]
+        return doc, start, length, lo
 
 
 def packed(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", window: int = WINDOW, with_ids: bool = False) -> DataFrame:
@@ -225,33 +229,21 @@ def packed(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
 
     def run(batches):
         for batch in batches:
-            columns = batch.to_pydict()
-            out: list[list] = [[] for _ in range(8 + with_ids)]
-
-            def ready():
-                types = [pa.int64()] * 7 + [pa.string()] + [pa.list_(pa.int32())] * with_ids
-                names_ = ["id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "source", "ids"][: len(out)]
-                return pa.RecordBatch.from_arrays([pa.array(o, t) for o, t in zip(out, types)], names_)
-
-            for doc, source, place, n, ids in zip(*(columns[c] for c in ("id", "source", "place", "n", "ids"))):
-                start, length, at = schedule.pieces(index[source], place, n)
-                raw = memoryview(ids)
-                k = len(start)
-                pairs = list(zip((4 * start).tolist(), (4 * (start + length)).tolist()))
-                out[0] += [doc] * k
-                out[1] += start.tolist()
-                out[2] += length.tolist()
-                out[3] += [zlib.crc32(raw[a:b]) for a, b in pairs]
-                out[4] += [n] * k
-                out[5] += (at // window).tolist()
-                out[6] += (at % window).tolist()
-                out[7] += [source] * k
+            sources, place, n = batch.column(1).to_pylist(), batch.column(2).to_numpy(), batch.column(3).to_numpy()
+            tokens = batch.column(4).cast(pa.large_binary())
+            bytes_at = np.frombuffer(tokens.buffers()[1], np.int64)[tokens.offset : tokens.offset + len(tokens)]
+            raw = memoryview(tokens.buffers()[2]) if len(tokens) else memoryview(b"")
+            queue = np.array([index[s] for s in sources], np.int64)
+            for q in np.unique(queue).tolist():
+                own = np.flatnonzero(queue == q)
+                doc, start, length, at = schedule.pieces(q, place[own], n[own])
+                doc = own[doc]
+                a = bytes_at[doc] + 4 * start
+                spans = list(zip(a.tolist(), (a + 4 * length).tolist()))
+                crc = np.fromiter((zlib.crc32(raw[x:y]) for x, y in spans), np.int64, len(spans))
+                out = [batch.column(0).take(pa.array(doc)), *(pa.array(x) for x in (start, length, crc, n[doc], at // window, at % window)), pa.array([names[q]] * len(doc))]
                 if with_ids:
-                    out[8] += [np.frombuffer(raw[a:b], WIDTH).tolist() for a, b in pairs]
-                if len(out[0]) > 50_000:
-                    yield ready()
-                    out = [[] for _ in range(8 + with_ids)]
-            if out[0]:
-                yield ready()
+                    out.append(pa.array([np.frombuffer(raw[x:y], WIDTH).tolist() for x, y in spans], pa.list_(pa.int32())))
+                yield pa.RecordBatch.from_arrays(out, ["id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "source", "ids"][: len(out)])
 
     return rows.mapInArrow(run, schema)
