@@ -7,6 +7,7 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from . import constants as C
 
@@ -28,7 +29,7 @@ def strip(c: Column) -> Column:
     return F.regexp_replace(c, f"^{WHITE}+|{WHITE}+$", "")
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def nfkc(texts: pd.Series) -> pd.Series:
     """Unicode compatibility composition, which Spark lacks."""
     return texts.map(lambda t: None if t is None else unicodedata.normalize("NFKC", t))
