@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import card_queries, record_queries, text_queries
+from . import card_queries, record_queries, run_queries, text_queries
 
 QUERIES, ORACLES = {}, {}
-for _part in (text_queries, card_queries, record_queries):
+for _part in (text_queries, card_queries, record_queries, run_queries):
     QUERIES.update(_part.QUERIES)
     ORACLES.update(_part.ORACLES)
