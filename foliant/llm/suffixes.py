@@ -14,7 +14,8 @@ can be equal only in the same column.  Surroundings that are equal as a whole
 are one class and need no construction; classes that share a key with no other
 have no partner.  Keys with more than ``HOT_CLASSES`` different surroundings (a
 passage in a great part of all documents) would make one collection too large
-for a task; their windows are dealt out by their own hashes and counted, which
+for a task; their windows are dealt out by hashes instead, first by what ``BIN``
+neighbouring windows have in common, then, where that repeats, one by one, which
 gives the same verdicts.
 """
 
@@ -29,11 +30,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import kernel as K
-from .repeats import classes, flag_spans, keyed, merged, runs, windows_of
+from .repeats import classes, flag_spans, keyed, merged, runs
 from .shared import written
 
 WINDOW, GRAM = 400, 32
 HOT_CLASSES = 2000
+BIN = 32
 COLLECTION_TEXTS = 12_000
 END = 0xFF  # never a byte of UTF-8
 
@@ -106,34 +108,58 @@ def repeated(texts: list[np.ndarray], anchor: np.ndarray, first: np.ndarray, las
     return out
 
 
-def _surroundings(docs: DataFrame, asked: DataFrame, window: int) -> DataFrame:
-    """(key, uid, lo, hi, at, n, piece): what the asked runs' windows cover."""
-    wanted = asked.groupBy("uid").agg(F.collect_list(F.struct("key", "lo", "hi", "at", "n")).alias("runs"))
+def _surroundings(docs: DataFrame, asked: DataFrame, window: int, hot: int) -> DataFrame:
+    """What the asked runs' windows cover: (key, uid, lo, hi, at, n, piece), bin null.
+
+    Runs under a hot key come in bins of ``BIN`` window places instead, without
+    text: (key, uid, lo, n, bin, core, h1, h2): the hash of the bytes that all
+    windows of the bin hold, and two hashes of each window of the run in it.
+    """
+    wanted = asked.groupBy("uid").agg(F.collect_list(F.struct("key", "lo", "hi", "at", "n", (F.col("variants") > hot).alias("hot"))).alias("runs"))
+    schema = "key long, uid long, lo int, hi int, at int, n long, piece binary, bin int, core long, h1 array<long>, h2 array<long>"
+    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.int32(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64())]
+    names = [x.split()[0] for x in schema.split(", ")]
+
+    def binned(r, uid, piece):
+        values = K.byte_symbols(np.frombuffer(piece, np.uint8))
+        one, two = K.Rolling(values), K.Rolling(K.mix(values), K.POWERS2)
+        at = r["at"] - r["lo"]
+        start = np.arange(r["hi"] - r["lo"] + 1)
+        size = min(BIN, window // 2)
+        place = (at - start) // size
+        h1, h2 = K.signed(one.of(start, start + window)), K.signed(two.of(start, start + window))
+        for b in np.unique(place).tolist():
+            own = np.flatnonzero(place == b)
+            first = np.array([at - b * size])
+            core = one.of(first, first - size + 1 + window)
+            yield r["key"], uid, r["lo"] + int(own[0]), None, None, r["n"], None, b, int(K.signed(core)[0]), h1[own].tolist(), h2[own].tolist()
 
     def run(batches):
         for batch in batches:
             uids, lists, texts = batch.column(0).to_pylist(), batch.column(2).to_pylist(), batch.column(1)
-            out: list[list] = [[] for _ in range(7)]
-            held = 0
+            rows, held = [], 0
             for uid, own, text in zip(uids, lists, texts):
-                raw = text.as_buffer().to_pybytes() if len(text.as_py()) else b""
+                raw = text.as_py().encode()
                 for r in own:
                     piece = raw[r["lo"] : r["hi"] + window]
-                    for o, v in zip(out, (r["key"], uid, r["lo"], r["hi"], r["at"], r["n"], piece)):
-                        o.append(v)
-                    held += len(piece)
+                    rows += binned(r, uid, piece) if r["hot"] else [(r["key"], uid, r["lo"], r["hi"], r["at"], r["n"], piece, None, None, None, None)]
+                    held += len(piece) * (8 if r["hot"] else 1)
                 if held > K.SLICE_BYTES:
-                    yield _batch(out)
-                    out, held = [[] for _ in range(7)], 0
-            if out[0]:
-                yield _batch(out)
+                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
+                    rows, held = [], 0
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
 
-    return docs.select("uid", "text").join(wanted, "uid").mapInArrow(run, "key long, uid long, lo int, hi int, at int, n long, piece binary")
+    return docs.select("uid", "text").join(wanted, "uid").mapInArrow(run, schema)
 
 
-def _batch(out):
-    types = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.binary()]
-    return pa.RecordBatch.from_arrays([pa.array(o, t) for o, t in zip(out, types)], ["key", "uid", "lo", "hi", "at", "n", "piece"])
+def _dealt(bins: DataFrame, window: int) -> DataFrame:
+    """Spans of the repeated windows of lone runs under hot keys: bins whose core repeats are looked at window by window."""
+    cores = written(bins.groupBy("key", "bin", "core").agg(F.count("*").alias("c")).where("c > 1").drop("c"), "cores")
+    pairs = bins.join(cores, ["key", "bin", "core"]).select("key", "uid", "n", "lo", F.posexplode(F.arrays_zip("h1", "h2")).alias("step", "h"))
+    windows = written(pairs.select("key", "uid", "n", (F.col("lo") + F.col("step")).alias("at"), "h.h1", "h.h2"), "windows")
+    twice = written(windows.groupBy("key", "h1", "h2").agg(F.count("*").alias("c")).where("c > 1").drop("c"), "repeated")
+    return windows.where("n = 1").join(twice, ["key", "h1", "h2"]).select("uid", F.col("at").alias("start"), (F.col("at") + window).alias("end"))
 
 
 def _constructed(batches, window: int):
@@ -170,13 +196,10 @@ def removals(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, hot: int =
     every = classes(found)
     many = written(every.where("n > 1 or variants > 1"), "decided")
     whole = found.join(many.where("n > 1").select("key", "sig"), ["key", "sig"]).select("uid", F.col("lo").alias("start"), (F.col("hi") + window).alias("end"))
-    few = many.where((F.col("variants") > 1) & (F.col("variants") <= hot))
-    pieces = _surroundings(docs, few, window)
-    lined = pieces.repartition(F.col("key")).sortWithinPartitions("key")
+    pieces = written(_surroundings(docs, many.where("variants > 1"), window, hot), "pieces")
+    lined = pieces.where("bin is null").select("key", "uid", "lo", "hi", "at", "n", "piece").repartition(F.col("key")).sortWithinPartitions("key")
     built = lined.mapInArrow(lambda b: _constructed(b, window), "uid long, start int, end int")
-    hashed = written(windows_of(docs, many.where(F.col("variants") > hot), byte_symbols, window).join(many.select("key", "sig", "n"), ["key", "sig"]), "windows")
-    twice = written(hashed.groupBy("key", "h1", "h2").agg(F.count("*").alias("c")).where("c > 1").drop("c"), "repeated")
-    dealt = hashed.where("n = 1").join(twice, ["key", "h1", "h2"]).select("uid", F.col("at").alias("start"), (F.col("at") + window).alias("end"))
+    dealt = _dealt(pieces.where("bin is not null"), window)
     return whole.union(built).union(dealt).groupBy("uid").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
 
 
