@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from foliant.llm import near_dup, packing, perplexity, secrets, substrings
+from foliant.llm import packing, perplexity, secrets, similar, substrings
 from foliant.llm.shared import written
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -29,17 +29,17 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def deduplicated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates stays, that with the smallest id.
+    """Of equal and similar texts (five-word shingles, 0.8 or more) those with the smallest ids stay.
 
-    A null id is stood for by a large number from its text, so such rows stay
-    only where no other of the group has an id; repeated rows become one.
+    SimHash fingerprints and multi-index hashing find the candidates.  A null
+    id is stood for by a large number from its text, so such rows stay only
+    where no like text has an id; repeated rows become one.
     """
     stand_in = F.xxhash64("text").bitwiseAND(F.lit((1 << 61) - 1)).bitwiseOR(F.lit(1 << 61))
     rows = docs.select(*COLUMNS).withColumn("row", F.coalesce("doc_id", stand_in))
-    found = near_dup.near_duplicates(rows, id_col="row")
-    first = written(found.where("id = component").select(F.col("id").alias("row")).distinct(), "first")
+    gone = written(similar.repeats(rows.select(F.col("row").alias("id"), "text")).toDF("row"), "repeats")
     one = F.row_number().over(Window.partitionBy("row").orderBy("text", "lang", "source"))
-    return rows.join(first, "row", "left_semi").withColumn("one", one).where("one = 1").select(*COLUMNS)
+    return rows.join(gone, "row", "left_anti").withColumn("one", one).where("one = 1").select(*COLUMNS)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
