@@ -1,11 +1,9 @@
 import random
 
-import pytest
+import corpus_pipeline as pipeline
 
-pipeline = pytest.importorskip("corpus_pipeline")
-
-from .helpers import docs, words  # noqa: E402
-from .test_substrings import brute  # noqa: E402
+from .helpers import docs
+from .test_substrings import brute
 
 
 def test_stages_keep_their_promises(spark):
