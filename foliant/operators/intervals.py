@@ -19,7 +19,7 @@ def status_intervals(log: DataFrame, now: str) -> DataFrame:
 
 def status_pivot(intervals: DataFrame, statuses: list[str]) -> DataFrame:
     """Days by key and status, zero where a key never had it."""
-    p = intervals.groupBy("key").pivot("status", statuses).agg(F.round(F.sum("days"), 3)).na.fill(0.0)
+    p = intervals.groupBy("key").pivot("status", statuses).agg(F.round(F.sum("days"), 4)).na.fill(0.0)
     return p.select("key", *[F.col(s).alias(f"d_{s}") for s in statuses])
 
 

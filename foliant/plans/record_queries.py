@@ -203,7 +203,7 @@ def status_intervals(spark, sf_dir):
     return i.select("key", "status", F.unix_micros("entered").alias("entered_us"), F.unix_micros("left").alias("left_us"), "days")
 
 
-@query(f"""WITH {SPANS} SELECT key, {', '.join(f"coalesce(round(sum(days) FILTER (WHERE status = '{k}'), 3), 0) AS d_{k}" for k in KINDS)} FROM iv GROUP BY key""")
+@query(f"""WITH {SPANS} SELECT key, {', '.join(f"coalesce(round(sum(days) FILTER (WHERE status = '{k}'), 4), 0) AS d_{k}" for k in KINDS)} FROM iv GROUP BY key""")
 def status_pivot(spark, sf_dir):
     return intervals.status_pivot(intervals.status_intervals(log(spark, sf_dir), NOW), KINDS)
 

@@ -38,7 +38,7 @@ def test_same_rows_as_sql(spark, duck, name):
     a, b = plain([tuple(r) for r in frame.collect()], frame.columns), plain(found.fetchall(), found.columns)
     assert len(a) == len(b)
     for x, y in zip(a, b):
-        assert x == pytest.approx(y) if all(isinstance(v, (int, float)) for v in x) else x == y
+        assert all(v == pytest.approx(w) if isinstance(v, float) else v == w for v, w in zip(x, y)), (x, y)
 
 
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES)))
