@@ -8,12 +8,19 @@ text, never the partition.
 
 from __future__ import annotations
 
+import ctypes
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE_BYTES = 1 << 21
+SLICE_BYTES = 1 << 20
 U64 = np.uint64
+try:
+    _LIBC = ctypes.CDLL("libc.so.6")
+    _LIBC.malloc_trim(0)
+except (OSError, AttributeError):  # another C library: nothing to trim
+    _LIBC = None
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
@@ -69,6 +76,13 @@ class Rolling:
         return mix((self.sums[end] - self.sums[start]) * self.down[start] + (end - start).astype(U64))
 
 
+def trimmed() -> None:
+    """Gives freed memory back: idle workers are kept for later stages, and what they hold counts against the executor."""
+    pa.default_memory_pool().release_unused()
+    if _LIBC is not None:
+        _LIBC.malloc_trim(0)
+
+
 def slices(column: pa.Array, limit: int = SLICE_BYTES):
     """(first row, last row + 1, bytes, offsets) of consecutive slices; a null is an empty text."""
     column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
@@ -84,6 +98,7 @@ def slices(column: pa.Array, limit: int = SLICE_BYTES):
         b = min(n, max(a + 1, int(np.searchsorted(offs, offs[a] + limit, "right")) - 1))
         yield a, b, data[offs[a] : offs[b]], offs[a : b + 1] - offs[a]
         a = b
+    trimmed()
 
 
 def word_spans(buf: np.ndarray, offs: np.ndarray):
