@@ -9,8 +9,9 @@ goes if it is at least ``SIMILAR`` like one that stays before it, by the exact
 Jaccard similarity of their sets of ``SHINGLE``-word shingles.
 
 Equal texts are one row throughout.  A component of at most ``SMALL`` texts is
-settled in one step; of a larger one each round settles what is like its first
-text, until it is small or done, so no component is ever held whole.
+settled in one step; of a larger one each round settles its first ``HEADS`` texts
+and, in blocks, what is like those of them that stay, until it is small, so no
+component is ever held whole.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import kernel as K
@@ -29,10 +30,10 @@ from .shared import written
 
 SHINGLE, SIMILAR = 5, 0.8
 RADIUS, SEGMENTS = 5, 3
-SMALL = 500
+SMALL, HEADS, BLOCK = 500, 250, 250
 SEEDS = (0x243F6A8885A308D3, 0x13198A2E03707344)
 BOUNDS = [64 * i // SEGMENTS for i in range(SEGMENTS + 1)]
-PAIRS = 1 << 21
+PAIRS = 1 << 19
 
 
 def prints(rows: DataFrame) -> DataFrame:
@@ -119,6 +120,7 @@ def _linked(batches):
             held = [x[cut:] for x in held]
     if held is not None and len(held[0]) and (out := solve(*held)) is not None:
         yield out
+    K.trimmed()
 
 
 def candidates(nodes: DataFrame) -> DataFrame:
@@ -170,11 +172,16 @@ def _settled(group: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"node": pd.Series(gone, dtype="int64")})
 
 
-def _compared(batches):
-    """Members beside their component's first text: (label, node, gone)."""
-    for batch in batches:
-        gone = [alike(x.as_py(), y.as_py()) for x, y in zip(batch.column(2), batch.column(3))]
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(gone, pa.bool_())], ["label", "node", "gone"])
+def _headed(group: pd.DataFrame) -> pd.DataFrame:
+    """The first texts of a large component, settled among themselves."""
+    gone = set(_settled(group)["node"])
+    return group[["label", "node", "set"]].assign(gone=[n in gone for n in group["node"]])
+
+
+def _compared(members: pd.DataFrame, heads: pd.DataFrame) -> pd.DataFrame:
+    """A block of members beside the first texts that stay: those that are like none of them."""
+    rest = [n for n, own in zip(members["node"], members["set"]) if not any(alike(own, h) for h in heads["set"])] if len(members) else []
+    return pd.DataFrame({"node": pd.Series(rest, dtype="int64")})
 
 
 def repeats(rows: DataFrame) -> DataFrame:
@@ -188,17 +195,24 @@ def repeats(rows: DataFrame) -> DataFrame:
     active = written(_shingles(joined), "shingles")
     gone = []
     while True:
-        sizes = active.groupBy("label").agg(F.count("*").alias("size"), F.min("node").alias("first"))
-        large = written(sizes.where(F.col("size") > SMALL), "large")
-        small = active.join(large.select(F.col("label").alias("l")), F.col("label") == F.col("l"), "left_anti")
+        sizes = active.groupBy("label").agg(F.count("*").alias("size"))
+        large = written(sizes.where(F.col("size") > SMALL).select(F.col("label").alias("l"), F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks")), "large")
+        small = active.join(large, F.col("label") == F.col("l"), "left_anti")
         gone.append(written(small.groupBy("label").applyInPandas(_settled, "node long"), "gone"))
         if large.isEmpty():
             break
-        first = written(active.join(large.select(F.col("first").alias("f")), F.col("node") == F.col("f")).select(F.col("label").alias("l"), F.col("node").alias("f"), F.col("set").alias("head")), "first")
-        beside = active.join(first, F.col("label") == F.col("l")).where("node <> f").select("label", "node", "set", "head")
-        verdict = written(beside.mapInArrow(_compared, "label long, node long, gone boolean"), "verdict")
-        gone.append(verdict.where("gone").select("node"))
-        stay = verdict.where("not gone").select(F.col("node").alias("n"))
+        in_large = active.join(large, F.col("label") == F.col("l"))
+        rank = F.row_number().over(Window.partitionBy("label").orderBy("node"))
+        first = written(in_large.select("label", "node").withColumn("r", rank).where(F.col("r") <= HEADS).select(F.col("node").alias("n")), "first")
+        heads = active.join(first, F.col("node") == F.col("n")).select("label", "node", "set")
+        heads = written(heads.groupBy("label").applyInPandas(_headed, "label long, node long, set binary, gone boolean"), "heads")
+        gone.append(heads.where("gone").select("node"))
+        others = in_large.join(first, F.col("node") == F.col("n"), "left_anti").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+        others = written(others.select("label", "block", "node", "set"), "others")
+        spread = heads.where("not gone").join(large, F.col("label") == F.col("l")).withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select("label", "block", "set")
+        rest = others.groupBy("label", "block").cogroup(spread.groupBy("label", "block")).applyInPandas(_compared, "node long")
+        stay = written(rest.withColumnRenamed("node", "n"), "rest")
+        gone.append(written(others.join(stay, F.col("node") == F.col("n"), "left_anti").select("node"), "gone"))
         active = written(active.join(stay, F.col("node") == F.col("n"), "left_semi"), "active")
     out = equal
     for part in gone:

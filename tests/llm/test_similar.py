@@ -44,7 +44,8 @@ def test_near_copies_go_and_others_stay(spark):
 
 
 def test_large_component_by_rounds(spark, monkeypatch):
-    monkeypatch.setattr(similar, "SMALL", 5)
+    for name, size in (("SMALL", 5), ("HEADS", 4), ("BLOCK", 6)):
+        monkeypatch.setattr(similar, name, size)
     rng = random.Random(9)
     b = [f"w{rng.randrange(500)}" for _ in range(300)]
     texts = []
@@ -53,8 +54,10 @@ def test_large_component_by_rounds(spark, monkeypatch):
         for _ in range(rng.randint(0, 3)):
             c[rng.randrange(len(c))] = "edit"
         texts.append(" ".join(c))
+    for _ in range(25):
+        texts.append(" ".join("other" if rng.random() < 0.05 else w for w in b))
     gone = {r["id"] for r in similar.repeats(docs(spark, texts).selectExpr("doc_id as id", "text")).collect()}
-    assert gone == set(range(1, 40))
+    assert set(range(1, 40)) <= gone and check(texts, gone) > 0.95
 
 
 def test_empty(spark):
