@@ -4,7 +4,11 @@ Three fingerprints stand for a text: that of its shingles (``near_dup``) and two
 of its set of words, which edits disturb less.  Multi-index hashing with
 ``SEGMENTS`` segments finds the texts that are within ``RADIUS`` bits by any of
 them.  Table rows and probes of one key meet in one place and leave a forest of
-links, never all pairs.  In each component, texts are then taken by id: a text
+links, never all pairs.  Fingerprints miss most pairs that differ by a block of
+words, so texts also meet by MinHash: ``BANDS`` keys of ``ROWS`` minima over the
+very shingles that verification compares.  A pair of similarity j misses all of
+them with chance ``(1 - j**ROWS)**BANDS``, however the words differ: at 0.8 three
+in a million.  In each component, texts are then taken by id: a text
 goes if it is at least ``SIMILAR`` like one that stays before it, by the exact
 Jaccard similarity of their sets of ``SHINGLE``-word shingles.
 
@@ -30,14 +34,31 @@ from .shared import written
 
 SHINGLE, SIMILAR = 5, 0.8
 RADIUS, SEGMENTS = 5, 3
+BANDS, ROWS = 24, 4
 SMALL, HEADS, BLOCK = 500, 250, 250
 SEEDS = (0x243F6A8885A308D3, 0x13198A2E03707344)
 BOUNDS = [64 * i // SEGMENTS for i in range(SEGMENTS + 1)]
 PAIRS = 1 << 19
+MULTIPLIERS, OFFSETS = np.random.default_rng(20240502).integers(0, 1 << 64, (2, BANDS * ROWS), dtype=np.uint64) | np.array([[1], [0]], np.uint64)
+
+
+def bands(h: np.ndarray, cut: np.ndarray) -> np.ndarray:
+    """The ``BANDS`` MinHash keys of each document's shingle hashes; without shingles, those of no minimum."""
+    full = np.flatnonzero(np.diff(cut))
+    out = np.zeros((len(cut) - 1, BANDS), np.uint64)
+    for b in range(BANDS):
+        key = np.full(len(cut) - 1, b, np.uint64)
+        for i in range(b * ROWS, (b + 1) * ROWS):
+            least = np.full(len(key), ~np.uint64(0))
+            if len(full):
+                least[full] = np.minimum.reduceat((h ^ OFFSETS[i]) * MULTIPLIERS[i], cut[full])
+            key = K.mix(key ^ least)
+        out[:, b] = key
+    return out
 
 
 def prints(rows: DataFrame) -> DataFrame:
-    """(id, same, f0, f1, f2) of every (id, text): ``same`` tells equal texts."""
+    """(id, same, f0, f1, f2, bands) of every (id, text): ``same`` tells equal texts."""
 
     def run(batches):
         for batch in batches:
@@ -52,9 +73,11 @@ def prints(rows: DataFrame) -> DataFrame:
                 new[1:] = (h[1:] != h[:-1]) | (doc[1:] != doc[:-1])
                 h, own = h[new], np.searchsorted(doc[new], np.arange(len(offs)))
                 found += [K.simhash(K.mix(h ^ np.uint64(s)), own) for s in SEEDS]
-                yield pa.RecordBatch.from_arrays([batch.column(0)[a:b], batch.column(1)[a:b], *(pa.array(K.signed(f)) for f in found)], ["id", "same", "f0", "f1", "f2"])
+                keys = pa.array(K.signed(bands(*shingle_hashes(buf, offs, SHINGLE)).ravel()))
+                keys = pa.ListArray.from_arrays(pa.array(np.arange(b - a + 1, dtype=np.int32) * BANDS), keys)
+                yield pa.RecordBatch.from_arrays([batch.column(0)[a:b], batch.column(1)[a:b], *(pa.array(K.signed(f)) for f in found), keys], ["id", "same", "f0", "f1", "f2", "bands"])
 
-    return rows.select("id", F.xxhash64("text").alias("same"), "text").mapInArrow(run, "id long, same long, f0 long, f1 long, f2 long")
+    return rows.select("id", F.xxhash64("text").alias("same"), "text").mapInArrow(run, "id long, same long, f0 long, f1 long, f2 long, bands array<long>")
 
 
 def _linked(batches):
@@ -124,7 +147,7 @@ def _linked(batches):
 
 
 def candidates(nodes: DataFrame) -> DataFrame:
-    """(a, b): links that connect all texts whose fingerprints are near."""
+    """(a, b): links that connect all texts whose fingerprints are near or that share a MinHash key."""
     tables, probes = [], []
     for f in range(3):
         for s in range(SEGMENTS):
@@ -136,7 +159,10 @@ def candidates(nodes: DataFrame) -> DataFrame:
     rows = nodes.select("node", F.inline(F.array(*tables, *probes)))
     rows = rows.select("space", "probe", "fp", "node", "key", F.explode("masks").alias("mask"))
     rows = rows.select("space", F.col("key").bitwiseXOR(F.col("mask")).alias("key"), "probe", "fp", "node")
-    return rows.repartition("space", "key").sortWithinPartitions("space", "key", "probe").mapInArrow(_linked, "a long, b long")
+    near = rows.repartition("space", "key").sortWithinPartitions("space", "key", "probe").mapInArrow(_linked, "a long, b long")
+    keys = nodes.select("node", F.explode("bands").alias("key"))
+    first = keys.groupBy("key").agg(F.min("node").alias("b"), F.count("*").alias("n")).where("n > 1").select("key", "b")
+    return near.union(keys.join(first, "key").where("node <> b").select(F.col("node").alias("a"), "b"))
 
 
 def _shingles(rows: DataFrame) -> DataFrame:
@@ -188,7 +214,7 @@ def repeats(rows: DataFrame) -> DataFrame:
     """(id): of all (id, text), the ids of texts that are equal or similar to one that stays with a smaller id."""
     marked = written(prints(rows), "prints")
     one = ["same", "f0", "f1", "f2"]
-    nodes = written(marked.groupBy(*one).agg(F.min("id").alias("node")), "nodes")
+    nodes = written(marked.groupBy(*one).agg(F.min("id").alias("node"), F.first("bands").alias("bands")), "nodes")
     equal = marked.join(nodes, one).where("id <> node").select("id")
     labels = written(components(candidates(nodes)), "labels")
     joined = rows.withColumnRenamed("id", "node").join(labels, "node").dropDuplicates(["node"])

@@ -60,5 +60,19 @@ def test_large_component_by_rounds(spark, monkeypatch):
     assert set(range(1, 40)) <= gone and check(texts, gone) > 0.95
 
 
+def test_copies_with_a_block_added_or_cut_off_go(spark):
+    rng = random.Random(10)
+    word = lambda: "".join(rng.choice(["th", "er", "on", "an", "re", "tion", "st"]) for _ in range(rng.randint(1, 4)))
+    texts, copies = [], []
+    for k in range(200):
+        b = [word() for _ in range(rng.randint(80, 400))]
+        n = int(len(b) * rng.uniform(0.15, 0.24))
+        texts.append(" ".join(b))
+        copies.append(" ".join(b + [word() for _ in range(n)] if k % 2 else b[: len(b) - n * 3 // 4]))
+    assert all(jaccard(shingles(x), shingles(y)) >= 0.8 for x, y in zip(texts, copies))
+    gone = {r["id"] for r in similar.repeats(docs(spark, texts + copies).selectExpr("doc_id as id", "text")).collect()}
+    assert gone == set(range(200, 400))
+
+
 def test_empty(spark):
     assert similar.repeats(docs(spark, ["x"]).where("doc_id > 1").selectExpr("doc_id as id", "text")).count() == 0
