@@ -1,11 +1,10 @@
 """Quality rules: base counts and n-gram perplexity bands.
 
 A modified Kneser-Ney model of characters, one for each language, is counted by
-Spark over all documents.  An n-gram is kept as a hash of ``HASH_BITS`` bits, so
-a language's model never holds more than ``ORDER * 2**HASH_BITS`` entries however
-large the corpus; n-grams whose hashes meet share their counts (that is part of
-the model).  The tables are sorted arrays of hashes with probabilities and
-back-off weights beside them, looked up by binary search.
+Spark over all documents.  Every n-gram is kept, as a hash of 63 bits, so the
+model grows with the different n-grams of the corpus.  The tables are sorted
+arrays of hashes with probabilities and back-off weights beside them, looked up
+by binary search, once for each different n-gram of a slice.
 
 Bands are language-specific: the median of log perplexity over the language's
 documents, less and plus ``BAND`` times the larger distance from the median to a
@@ -23,8 +22,7 @@ from pyspark.sql import functions as F
 from . import kernel as K
 from .shared import written
 
-ORDER, HASH_BITS = 3, 16
-MASK = (1 << HASH_BITS) - 1
+ORDER = 3
 MODELS = 16
 BINS, BIN = 16_384, 1 / 1024
 LOW, HIGH, BAND = 0.25, 0.75, 8.0
@@ -116,8 +114,8 @@ def grams(points: np.ndarray, cut: np.ndarray) -> list[np.ndarray]:
         head = np.zeros(len(points), U64)
         head[n - 1 :] = points[: len(points) - n + 1]
         rolled = rolled * U64(0x9E3779B97F4A7C15) + head + U64(n)
-        # the low bits of a mixed hash; the n-gram reads backwards, so order n extends order n - 1 to the left
-        out.append(np.where(since >= n - 1, (K.mix(rolled) & U64((1 << HASH_BITS) - 1)).astype(np.int64), -1))
+        # 63 bits of a mixed hash; the n-gram reads backwards, so order n extends order n - 1 to the left
+        out.append(np.where(since >= n - 1, (K.mix(rolled) >> U64(1)).astype(np.int64), -1))
     return out
 
 
@@ -128,34 +126,45 @@ def _contexts(found: list[np.ndarray], n: int) -> np.ndarray:
     return before
 
 
+def _keys(model: np.ndarray, h: np.ndarray) -> np.ndarray:
+    """What a model's n-gram is sorted and found by."""
+    return K.mix(model.astype(np.int64).view(U64) * U64(0x9E3779B97F4A7C15) ^ h.view(U64))
+
+
+def _kinds(keys: np.ndarray):
+    """Which of the different keys each one is, and where each of those comes first."""
+    codes, kinds = pd.factorize(keys)
+    first = np.zeros(len(kinds), np.int64)
+    first[codes[::-1]] = np.arange(len(codes) - 1, -1, -1)
+    return codes, first
+
+
 def model_name(lang) -> F.Column:
     """A language's model; a null language is one too.  More languages than ``MODELS`` share models by hash."""
-    return F.pmod(F.xxhash64(F.coalesce(lang.cast("string"), F.lit(""))), F.lit(MODELS)).cast("int")
+    return F.pmod(F.xxhash64(F.coalesce(lang.cast("string"), F.lit(""))), F.lit(MODELS))
 
 
 def counted(docs: DataFrame) -> DataFrame:
-    """(model, n, h, context, suffix, c) of all n-grams of ``docs`` (model, text): at most ``MODELS * ORDER * 2**HASH_BITS`` rows."""
+    """(model, n, h, context, suffix, c) of all n-grams of ``docs`` (model, text), one row for each."""
 
     def run(batches):
         for batch in batches:
             models = batch.column(0).to_numpy()
             for a, b, buf, offs in K.slices(batch.column(1)):
                 points, cut = _points(buf, offs)
-                model = np.repeat(models[a:b], np.diff(cut)).astype(np.int64)
+                model = np.repeat(models[a:b], np.diff(cut))
                 found = grams(points, cut)
                 for n in range(1, ORDER + 1):
                     h = found[n - 1]
                     context = _contexts(found, n) if n > 1 else np.zeros(len(h), np.int64)
                     suffix = found[n - 2] if n > 1 else np.zeros(len(h), np.int64)
-                    ok = h >= 0
-                    key = (model[ok] << (2 * HASH_BITS)) | (h[ok] << HASH_BITS) | context[ok]
-                    codes, kinds = pd.factorize(key)
-                    first = np.zeros(len(kinds), np.int64)
-                    first[codes[::-1]] = np.arange(len(codes) - 1, -1, -1)
-                    columns = (kinds >> (2 * HASH_BITS), np.full(len(kinds), n), (kinds >> HASH_BITS) & MASK, kinds & MASK, suffix[ok][first], np.bincount(codes, minlength=len(kinds)))
-                    yield pa.RecordBatch.from_arrays([pa.array(x.astype(np.int32)) for x in columns[:5]] + [pa.array(columns[5].astype(np.int64))], ["model", "n", "h", "context", "suffix", "c"])
-
-    rows = docs.mapInArrow(run, "model int, n int, h int, context int, suffix int, c long")
+                    ok = np.flatnonzero(h >= 0)
+                    codes, first = _kinds(_keys(model[ok], h[ok]))
+                    at = ok[first]
+                    columns = (model[at], np.full(len(at), n), h[at], context[at], suffix[at], np.bincount(codes, minlength=len(at)))
+                    yield pa.RecordBatch.from_arrays([pa.array(x.astype(np.int64)) for x in columns], ["model", "n", "h", "context", "suffix", "c"])
+
+    rows = docs.mapInArrow(run, "model long, n long, h long, context long, suffix long, c long")
     return rows.groupBy("model", "n", "h").agg(F.min("context").alias("context"), F.min("suffix").alias("suffix"), F.sum("c").alias("c"))
 
 
@@ -167,50 +176,70 @@ def _discounts(c: np.ndarray) -> np.ndarray:
 
 
 class Model:
-    """Arrays sorted by (model, hash): every hash has its place, so none is searched for.
+    """Arrays sorted by the key of (model, n-gram), one set for each order.
 
-    ``p[n]``: the discounted share of each n-gram in its context; ``g[n]``: the
-    weight that each context of order n leaves to the next lower order.
+    ``p[n]``: the discounted share of each n-gram of order n in its context;
+    ``g[n]``: the weight that it leaves, as a context, to the next lower order.
+    ``base``: what each of ``models`` leaves to an unknown code point.
     """
 
     def __init__(self, table: pd.DataFrame):
-        size = MODELS << HASH_BITS
-        self.p = {n: np.zeros(size, np.float32) for n in range(1, ORDER + 1)}
-        self.g = {n: np.ones(size, np.float32) for n in range(2, ORDER + 1)}
-        self.base = np.full(MODELS, 1e-6)
+        parts = {n: [] for n in range(1, ORDER + 1)}
+        names, base = [], []
         for m, own in table.groupby("model"):
-            at = int(m) << HASH_BITS
-            rows = {n: own[own["n"] == n] for n in range(1, ORDER + 1)}
+            rows = {n: own[own["n"] == n].sort_values("h") for n in range(1, ORDER + 1)}
+            h = {n: rows[n]["h"].to_numpy(np.int64) for n in rows}
+            g = {n: np.ones(len(h[n])) for n in h}
             for n in range(1, ORDER + 1):
-                r = rows[n]
-                h, context = r["h"].to_numpy(), r["context"].to_numpy()
                 if n == ORDER:
-                    c = r["c"].to_numpy()
+                    c = rows[n]["c"].to_numpy()
                 else:  # how many different code points stand before the n-gram
-                    c = np.bincount(rows[n + 1]["suffix"].to_numpy(), minlength=1 << HASH_BITS)[h]
+                    c = np.bincount(np.searchsorted(h[n], rows[n + 1]["suffix"].to_numpy()), minlength=len(h[n]))
+                context = np.searchsorted(h[n - 1], rows[n]["context"].to_numpy()) if n > 1 else np.zeros(len(c), np.int64)
                 d = _discounts(c)[np.minimum(c, 3)]
-                total = np.bincount(context, c, minlength=1 << HASH_BITS)
-                left = np.bincount(context, d, minlength=1 << HASH_BITS)
+                total = np.bincount(context, c, minlength=len(h[n - 1]) if n > 1 else 1)
+                left = np.bincount(context, d, minlength=len(total))
                 with np.errstate(divide="ignore", invalid="ignore"):
-                    self.p[n][at + h] = np.where(c > 0, (c - d) / total[context], 0)
+                    p = np.where(c > 0, (c - d) / total[context], 0)
                     rest = np.where(total > 0, left / total, 1)
                 if n > 1:
-                    self.g[n][at : at + (1 << HASH_BITS)] = rest
+                    g[n - 1] = rest
                 else:
-                    self.base[int(m)] = max(1e-7, rest[0] / (len(h) + 1))
+                    names.append(m)
+                    base.append(max(1e-7, rest[0] / (len(c) + 1)))
+                parts[n].append((_keys(np.full(len(c), m), h[n]), p, g, n))
+        self.models, self.base = np.array(names, np.int64), np.array(base)
+        self.keys, self.p, self.g = {}, {}, {}
+        for n, own in parts.items():
+            keys = np.concatenate([np.zeros(0, U64), *(k for k, _, _, _ in own)])
+            order = np.argsort(keys)
+            self.keys[n] = keys[order]
+            self.p[n] = np.concatenate([np.zeros(0), *(p for _, p, _, _ in own)])[order].astype(np.float32)
+            self.g[n] = np.concatenate([np.zeros(0), *(g[n] for _, _, g, n in own)])[order].astype(np.float32)
+
+    def _of(self, values: dict, n: int, model: np.ndarray, h: np.ndarray, unknown: float) -> np.ndarray:
+        """The values of n-grams of order n, by binary search."""
+        if not len(self.keys[n]):
+            return np.full(len(h), unknown)
+        keys = _keys(model, h)
+        at = np.minimum(np.searchsorted(self.keys[n], keys), len(self.keys[n]) - 1)
+        return np.where(self.keys[n][at] == keys, values[n][at], unknown)
 
     def scores(self, buf: np.ndarray, offs: np.ndarray, models: np.ndarray):
         """(log perplexity, code points) of each document; a document without text: zero."""
         points, cut = _points(buf, offs)
         found = grams(points, cut)
+        longest = found[0]
+        for h in found[1:]:
+            longest = np.where(h >= 0, h, longest)
         model = np.repeat(models, np.diff(cut)).astype(np.int64)
-        at = model << HASH_BITS
-        p = self.p[1][at + found[0]] + self.base[model]
+        codes, first = _kinds(_keys(model, longest))  # the longest n-gram decides what a code point costs
+        own = model[first]
+        p = self._of(self.p, 1, own, found[0][first], 0) + self.base[np.searchsorted(self.models, own)]
         for n in range(2, ORDER + 1):
-            h, context = found[n - 1], _contexts(found, n)
-            known = h >= 0
-            p = np.where(known, self.p[n][at + np.maximum(h, 0)] + self.g[n][at + np.maximum(context, 0)] * p, p)
-        logs = np.minimum(-np.log(p), MOST_LOSS)
+            h, context = found[n - 1][first], _contexts(found, n)[first]
+            p = np.where(h >= 0, self._of(self.p, n, own, h, 0) + self._of(self.g, n - 1, own, context, 1) * p, p)
+        logs = np.minimum(-np.log(p), MOST_LOSS)[codes]
         logs[cut[:-1]] = 0  # the start mark itself
         n = np.diff(cut) - 1
         sums = np.add.reduceat(logs, cut[:-1]) if len(n) else np.zeros(0)
@@ -222,7 +251,7 @@ def scored(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang
     """(id, model, the base counts, base_failed, log_ppl, n_points, deviation) of every row, written to the shared folder."""
     spark = docs.sparkSession
     frame = docs.select(model_name(F.col(lang_col)).alias("model"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"), F.col(id_col).cast("long").alias("id"))
-    model = spark.sparkContext.broadcast(Model(counted(frame.select("model", "text")).toPandas()))
+    model = spark.sparkContext.broadcast(Model(counted(frame.select("model", "text")).toArrow().to_pandas()))
 
     def run(batches):
         for batch in batches:
@@ -234,7 +263,7 @@ def scored(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang
                 columns = [batch.column(2)[a:b], batch.column(0)[a:b], *(pa.array(v.astype(np.int64)) for v in base.values()), pa.array(failed), pa.array(log_ppl), pa.array(n)]
                 yield pa.RecordBatch.from_arrays(columns, ["id", "model", *base, "base_failed", "log_ppl", "n_points"])
 
-    schema = "id long, model int, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, log_ppl double, n_points long"
+    schema = "id long, model long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, log_ppl double, n_points long"
     return written(frame.mapInArrow(run, schema), "scores")
 
 

@@ -89,6 +89,14 @@ def test_model_against_strings():
         assert n == len(t) and abs(g - sum(want) / n) < 1e-4
 
 
+def test_every_ngram_is_counted_apart(spark):
+    rng = random.Random(5)
+    texts = ["".join(chr(rng.randrange(0x4E00, 0x9FFF)) for _ in range(1000)) for _ in range(120)]
+    want = {n: len({g for t in texts for g in zip(*(("\0" + t)[k:] for k in range(n)))}) for n in range(1, P.ORDER + 1)}
+    got = Counter(r["n"] for r in P.counted(docs(spark, texts).selectExpr("0L as model", "text")).collect())
+    assert want[3] > 1 << 16 and dict(got) == want
+
+
 def test_odd_text_is_rejected_and_clean_text_kept(spark):
     rng = random.Random(4)
     letters = ["the", "and", "of", "tion", "er", "in", "re", "on"]
