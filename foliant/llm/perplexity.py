@@ -16,14 +16,13 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import kernel as K
 from .shared import written
 
 ORDER = 3
-MODELS = 16
 BINS, BIN = 16_384, 1 / 1024
 LOW, HIGH, BAND = 0.25, 0.75, 8.0
 SHORT = 300
@@ -140,8 +139,8 @@ def _kinds(keys: np.ndarray):
 
 
 def model_name(lang) -> F.Column:
-    """A language's model; a null language is one too.  More languages than ``MODELS`` share models by hash."""
-    return F.pmod(F.xxhash64(F.coalesce(lang.cast("string"), F.lit(""))), F.lit(MODELS))
+    """A language's model: one for each language, the null language and '' among them, by the language's 64-bit hash."""
+    return F.when(lang.isNull(), F.lit(0).cast("long")).otherwise(F.xxhash64(lang.cast("string")))
 
 
 def counted(docs: DataFrame) -> DataFrame:
@@ -267,18 +266,16 @@ def scored(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang
     return written(frame.mapInArrow(run, schema), "scores")
 
 
-def bands(scores: DataFrame) -> dict[int, tuple[float, float]]:
-    """model -> lowest and highest log perplexity that is kept, from exact counts per bin of ``BIN``."""
+def bands(scores: DataFrame) -> DataFrame:
+    """(of, low, high): a model and the lowest and highest log perplexity that it keeps, from exact counts per bin of ``BIN``."""
     sound = scores.where(~F.col("base_failed"))
-    rows = sound.groupBy("model", F.least(F.floor(F.col("log_ppl") / BIN), F.lit(BINS)).cast("int").alias("bin")).count().collect()
-    out = {}
-    for m in {r["model"] for r in rows}:
-        own = sorted((r["bin"], r["count"]) for r in rows if r["model"] == m)
-        upto = np.cumsum([c for _, c in own])
-        at = lambda q: (own[int(np.searchsorted(upto, q * upto[-1]))][0] + 0.5) * BIN
-        middle, spread = at(0.5), max(at(0.5) - at(LOW), at(HIGH) - at(0.5), BIN)
-        out[m] = (middle - BAND * spread, middle + BAND * spread)
-    return out
+    bins = sound.groupBy(F.col("model").alias("of"), F.least(F.floor(F.col("log_ppl") / BIN), F.lit(BINS)).cast("int").alias("bin")).agg(F.count("*").alias("n"))
+    whole = Window.partitionBy("of")
+    bins = bins.withColumn("upto", F.sum("n").over(whole.orderBy("bin"))).withColumn("all", F.sum("n").over(whole))
+    at = lambda q: (F.min(F.when(F.col("upto") >= q * F.col("all"), F.col("bin"))) + 0.5) * BIN
+    found = bins.groupBy("of").agg(at(LOW).alias("quarter"), at(0.5).alias("middle"), at(HIGH).alias("three"))
+    half = BAND * F.greatest(F.col("middle") - F.col("quarter"), F.col("three") - F.col("middle"), F.lit(BIN))
+    return written(found.select("of", (F.col("middle") - half).alias("low"), (F.col("middle") + half).alias("high")), "bands")
 
 
 def judged(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
@@ -290,12 +287,9 @@ def judged(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang
     rules; a null language is a language; repeated rows get the same verdict.
     """
     scores = scored(docs, id_col, text_col, lang_col)
-    limits = bands(scores)
-    if not limits:
-        return scores.withColumn("kept", F.lit(False)).drop("model", "n_points")
-    pick = lambda i: F.element_at(F.create_map(*[F.lit(x) for m, b in sorted(limits.items()) for x in (m, b[i])]), F.col("model"))
-    low, high = pick(0), pick(1)
+    low, high = F.col("low"), F.col("high")
     middle, half = (low + high) / 2, (high - low) / 2
     wide = half * F.sqrt(1 + F.lit(float(SHORT)) / F.greatest("n_points", F.lit(1)))
     inside = F.abs(F.col("log_ppl") - middle) <= wide
-    return scores.withColumn("kept", ~F.col("base_failed") & F.coalesce(inside, F.lit(True))).drop("model", "n_points")
+    found = scores.join(bands(scores), F.col("model") == F.col("of"), "left")
+    return found.withColumn("kept", ~F.col("base_failed") & F.coalesce(inside, F.lit(True))).drop("model", "n_points", "of", "low", "high")

@@ -4,6 +4,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pandas as pd
+from pyspark.sql import functions as F
 
 from foliant.llm import perplexity as P
 
@@ -89,6 +90,19 @@ def test_model_against_strings():
         assert n == len(t) and abs(g - sum(want) / n) < 1e-4
 
 
+def test_every_language_has_its_own_model_and_band(spark):
+    rng = random.Random(6)
+    made = lambda alphabet: ["".join(rng.choice(alphabet) + (" " if k % 6 == 5 else "") for k in range(600)) for _ in range(60)]
+    langs = [None, "", "de", "pl", "en", "ko", "es", "ja", "pt", "ar", "tr"] + [f"l{i}" for i in range(30)]
+    names = docs(spark, langs).selectExpr("text").select(P.model_name(F.col("text")).alias("m")).distinct()
+    assert names.count() == len(langs)
+    rows = [(i, t, lang) for lang, alphabet in (("pl", "abcdefgh"), (None, "αβγδεζηθ")) for i, t in enumerate(made(alphabet), 0 if lang else 100)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    both = {r["id"]: (r["kept"], round(r["log_ppl"], 6)) for r in P.judged(frame).collect()}
+    alone = {r["id"]: (r["kept"], round(r["log_ppl"], 6)) for lang in ("lang is null", "lang = 'pl'") for r in P.judged(frame.where(lang)).collect()}
+    assert both == alone and all(kept for kept, _ in both.values())
+
+
 def test_every_ngram_is_counted_apart(spark):
     rng = random.Random(5)
     texts = ["".join(chr(rng.randrange(0x4E00, 0x9FFF)) for _ in range(1000)) for _ in range(120)]
