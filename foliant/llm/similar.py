@@ -8,14 +8,15 @@ links, never all pairs.  Fingerprints miss most pairs that differ by a block of
 words, so texts also meet by MinHash: ``BANDS`` keys of ``ROWS`` minima over the
 very shingles that verification compares.  A pair of similarity j misses all of
 them with chance ``(1 - j**ROWS)**BANDS``, however the words differ: at 0.8 three
-in a million.  In each component, texts are then taken by id: a text
-goes if it is at least ``SIMILAR`` like one that stays before it, by the exact
-Jaccard similarity of their sets of ``SHINGLE``-word shingles.
+in a million.  Inside each component texts are then linked
+if the exact Jaccard similarity of their sets of ``SHINGLE``-word shingles is at
+least ``SIMILAR``, and a group is what such links reach: its least id stays.
 
 Equal texts are one row throughout.  A component of at most ``SMALL`` texts is
-settled in one step; of a larger one each round settles its first ``HEADS`` texts
-and, in blocks, what is like those of them that stay, until it is small, so no
-component is ever held whole.
+settled in one step; of a larger one each round compares ``HEADS`` texts with all
+others, in blocks, until all that are left are in one group or few enough, so no
+component is ever held whole.  Heads come from outside the largest group, whose
+members need not be compared with each other.
 """
 
 from __future__ import annotations
@@ -187,60 +188,67 @@ def alike(x: bytes, y: bytes) -> bool:
     return both >= SIMILAR * (len(a) + len(b) - both)
 
 
-def _settled(group: pd.DataFrame) -> pd.DataFrame:
-    """The texts of a small component that go."""
-    stay, gone = [], []
-    for node, own in sorted(zip(group["node"], group["set"])):
-        if any(alike(own, s) for s in stay):
-            gone.append(node)
-        else:
-            stay.append(own)
-    return pd.DataFrame({"node": pd.Series(gone, dtype="int64")})
+LINKS = "a long, b long"
 
 
-def _headed(group: pd.DataFrame) -> pd.DataFrame:
-    """The first texts of a large component, settled among themselves."""
-    gone = set(_settled(group)["node"])
-    return group[["label", "node", "set"]].assign(gone=[n in gone for n in group["node"]])
+def _grouped(group: pd.DataFrame) -> pd.DataFrame:
+    """Links (a, b) that connect the similar texts of a few: each text of a group with the group's least."""
+    rows = sorted(zip(group["node"], group["set"]))
+    parts: list[list] = []
+    for node, own in rows:
+        near = [p for p in parts if any(alike(own, s) for _, s in p)]
+        parts = [p for p in parts if not any(p is q for q in near)] + [[x for p in near for x in p] + [(node, own)]]
+    out = [(n, p[0][0]) for p in ([sorted(p) for p in parts]) for n, _ in p[1:]]
+    return pd.DataFrame({"a": pd.Series([a for a, _ in out], dtype="int64"), "b": pd.Series([b for _, b in out], dtype="int64")})
 
 
 def _compared(members: pd.DataFrame, heads: pd.DataFrame) -> pd.DataFrame:
-    """A block of members beside the first texts that stay: those that are like none of them."""
-    rest = [n for n, own in zip(members["node"], members["set"]) if not any(alike(own, h) for h in heads["set"])] if len(members) else []
-    return pd.DataFrame({"node": pd.Series(rest, dtype="int64")})
+    """Links (a, b) of a block of members with the heads they are like, one for each group of heads."""
+    a, b = [], []
+    for node, part, own in zip(members["node"], members["part"], members["set"]):
+        met = {part}
+        for head, of, other in zip(heads["node"], heads["part"], heads["set"]):
+            if of not in met and head != node and alike(own, other):
+                met.add(of)
+                a.append(node)
+                b.append(head)
+    return pd.DataFrame({"a": pd.Series(a, dtype="int64"), "b": pd.Series(b, dtype="int64")})
 
 
 def repeats(rows: DataFrame) -> DataFrame:
-    """(id): of all (id, text), the ids of texts that are equal or similar to one that stays with a smaller id."""
+    """(id): of all (id, text), the ids of texts that equal or similar ones link, over any number of texts, to a smaller id."""
     marked = written(prints(rows), "prints")
     one = ["same", "f0", "f1", "f2"]
     nodes = written(marked.groupBy(*one).agg(F.min("id").alias("node"), F.first("bands").alias("bands")), "nodes")
     equal = marked.join(nodes, one).where("id <> node").select("id")
     labels = written(components(candidates(nodes)), "labels")
     joined = rows.withColumnRenamed("id", "node").join(labels, "node").dropDuplicates(["node"])
-    active = written(_shingles(joined), "shingles")
-    gone = []
+    active = written(_shingles(joined).withColumn("part", F.col("node")), "shingles")
+    found = []
     while True:
-        sizes = active.groupBy("label").agg(F.count("*").alias("size"))
-        large = written(sizes.where(F.col("size") > SMALL).select(F.col("label").alias("l"), F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks")), "large")
-        small = active.join(large, F.col("label") == F.col("l"), "left_anti")
-        gone.append(written(small.groupBy("label").applyInPandas(_settled, "node long"), "gone"))
+        parts = active.groupBy("label", "part").agg(F.count("*").alias("n"))
+        sizes = parts.groupBy("label").agg(F.sum("n").alias("size"), F.count("*").alias("parts"), F.max_by("part", F.struct("n", -F.col("part"))).alias("most"))
+        open_ = written(sizes.where("parts > 1").select(F.col("label").alias("l"), "size", "most", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks")), "open")
+        within = active.join(open_, F.col("label") == F.col("l"))
+        small = within.where(F.col("size") <= SMALL).select("label", "node", "set")
+        found.append(written(small.groupBy("label").applyInPandas(_grouped, LINKS), "links"))
+        large = open_.where(F.col("size") > SMALL)
         if large.isEmpty():
             break
-        in_large = active.join(large, F.col("label") == F.col("l"))
+        within = within.where(F.col("size") > SMALL)
         rank = F.row_number().over(Window.partitionBy("label").orderBy("node"))
-        first = written(in_large.select("label", "node").withColumn("r", rank).where(F.col("r") <= HEADS).select(F.col("node").alias("n")), "first")
-        heads = active.join(first, F.col("node") == F.col("n")).select("label", "node", "set")
-        heads = written(heads.groupBy("label").applyInPandas(_headed, "label long, node long, set binary, gone boolean"), "heads")
-        gone.append(heads.where("gone").select("node"))
-        others = in_large.join(first, F.col("node") == F.col("n"), "left_anti").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-        others = written(others.select("label", "block", "node", "set"), "others")
-        spread = heads.where("not gone").join(large, F.col("label") == F.col("l")).withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select("label", "block", "set")
-        rest = others.groupBy("label", "block").cogroup(spread.groupBy("label", "block")).applyInPandas(_compared, "node long")
-        stay = written(rest.withColumnRenamed("node", "n"), "rest")
-        gone.append(written(others.join(stay, F.col("node") == F.col("n"), "left_anti").select("node"), "gone"))
-        active = written(active.join(stay, F.col("node") == F.col("n"), "left_semi"), "active")
-    out = equal
-    for part in gone:
-        out = out.union(part.select(F.col("node").alias("id")))
-    return out.distinct()
+        first = written(within.where("part <> most").select("label", "node").withColumn("r", rank).where(F.col("r") <= HEADS).select(F.col("node").alias("n")), "first")
+        heads = written(active.join(first, F.col("node") == F.col("n"), "left_semi"), "heads")
+        spread = heads.join(large, F.col("label") == F.col("l")).withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select("label", "block", "node", "part", "set")
+        blocks = within.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")).select("label", "block", "node", "part", "set")
+        met = blocks.groupBy("label", "block").cogroup(spread.groupBy("label", "block")).applyInPandas(_compared, LINKS)
+        found.append(written(met, "links"))
+        # the heads are done with; the others are known by the groups that the links so far make
+        both = active.select(F.col("node").alias("a"), F.col("part").alias("b")).where("a <> b").union(found[-1])
+        named = components(both).select(F.col("node").alias("n"), F.col("label").alias("now"))
+        rest = active.join(large.select("l"), F.col("label") == F.col("l"), "left_semi").join(first, F.col("node") == F.col("n"), "left_anti")
+        active = written(rest.join(named, F.col("node") == F.col("n"), "left").select("label", "node", "set", F.coalesce("now", "part").alias("part")), "active")
+    links = found[0]
+    for part in found[1:]:
+        links = links.union(part)
+    return equal.union(components(links).where("node <> label").select("node")).distinct()

@@ -74,5 +74,24 @@ def test_copies_with_a_block_added_or_cut_off_go(spark):
     assert gone == set(range(200, 400))
 
 
+def test_groups_are_closed_over_links(spark, monkeypatch):
+    rng = random.Random(12)
+    texts, want = [], set()
+    for _ in range(12):
+        b = [f"w{rng.randrange(10**6)}" for _ in range(300)]
+        copies = []
+        for k in range(4):  # like the original, but not like each other
+            copies.append(" ".join("edit" if i % 75 == 15 * k + 7 else w for i, w in enumerate(b)))
+        s = [shingles(t) for t in [*copies, " ".join(b)]]
+        assert all(jaccard(s[4], x) >= 0.8 for x in s[:4]) and jaccard(s[0], s[1]) < 0.8
+        want |= set(range(len(texts) + 1, len(texts) + 5))
+        texts += [*copies, " ".join(b)]
+    frame = docs(spark, texts).selectExpr("doc_id as id", "text").cache()
+    assert {r["id"] for r in similar.repeats(frame).collect()} == want
+    for name, size in (("SMALL", 2), ("HEADS", 2), ("BLOCK", 2)):
+        monkeypatch.setattr(similar, name, size)
+    assert {r["id"] for r in similar.repeats(frame).collect()} == want
+
+
 def test_empty(spark):
     assert similar.repeats(docs(spark, ["x"]).where("doc_id > 1").selectExpr("doc_id as id", "text")).count() == 0
