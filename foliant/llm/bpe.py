@@ -14,7 +14,6 @@ import unicodedata
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -92,9 +91,7 @@ class Coder:
         place = np.append(np.flatnonzero((buf & 0xC0) != 0x80), len(buf))
         start, end = bare_words(points)
         at, to = place[start], place[end]
-        codes, _ = pd.factorize(K.word_hashes(buf, at, to))
-        first = np.zeros(codes.max() + 1 if len(codes) else 0, np.int64)
-        first[codes[::-1]] = np.arange(len(codes) - 1, -1, -1)
+        codes, first = K.distinct(buf, at, to)
         known = [self.word(raw[a:b]) for a, b in zip(at[first].tolist(), to[first].tolist())]
         ids = np.array([k[0] for k in known] + [""], object)[codes]
         labels = np.array([k[1] for k in known] + [""], object)[codes]

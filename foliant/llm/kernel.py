@@ -4,6 +4,12 @@ Each kernel works on one *slice* of an Arrow batch: whole texts, concatenated as
 UTF-8 bytes, with ``offs`` holding the n+1 document offsets.  Slices are cut by
 bytes (``SLICE_BYTES``), so memory follows the slice and the longest single
 text, never the partition.
+
+Two kinds of hashes: ``Rolling`` is a polynomial modulo 2**64, cheap for every
+subrange but easily made to collide; it only chooses places and candidates,
+which equal contents always share.  What decides that contents are equal is
+``word_hashes`` and ``chained`` (a bijective mixer over eight bytes at a time),
+``digests`` (XXH3 of 128 bits) or the bytes themselves (``distinct``).
 """
 
 from __future__ import annotations
@@ -11,11 +17,16 @@ from __future__ import annotations
 import ctypes
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 
 SLICE_BYTES = 1 << 20
 U64 = np.uint64
+ODD = U64(0x9E3779B97F4A7C15)
+#: Words of more bytes are hashed one by one.
+LONG_WORD = 64
 try:
     _LIBC = ctypes.CDLL("libc.so.6")
     _LIBC.malloc_trim(0)
@@ -52,8 +63,7 @@ class Powers:
 
 
 _VALUES, _BASE = _constants(20240501)
-_, _BASE2 = _constants(77003)
-POWERS, POWERS2 = Powers(_BASE), Powers(_BASE2)
+POWERS = Powers(_BASE)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -64,7 +74,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 class Rolling:
-    """Hashes of any subrange of a symbol sequence from one prefix sum."""
+    """Hashes of any subrange of a symbol sequence from one prefix sum; they choose places, they prove nothing equal."""
 
     def __init__(self, symbols: np.ndarray, powers: Powers = POWERS):
         n = len(symbols)
@@ -123,8 +133,76 @@ def byte_symbols(buf: np.ndarray) -> np.ndarray:
     return _VALUES[buf]
 
 
+_MASKS = np.array([(1 << 8 * k) - 1 for k in range(9)], U64)
+
+
+def _loads(buf: np.ndarray) -> np.ndarray:
+    """The eight bytes from each place of ``buf`` on, zeros behind its end."""
+    return np.ndarray(len(buf) + 1, "<u8", np.concatenate([buf, np.zeros(8, np.uint8)]), strides=(1,))
+
+
 def word_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    return Rolling(byte_symbols(buf)).of(starts, ends)
+    """A 64-bit hash of each span's bytes: its length, then eight bytes at a time, through ``mix``."""
+    size, loads = ends - starts, _loads(buf)
+    h = mix(mix(size.astype(U64) + ODD) * ODD ^ (loads[starts] & _MASKS[np.minimum(size, 8)]))
+    at, rows = 8, np.flatnonzero(size > 8)
+    while len(rows) and at < LONG_WORD:
+        h[rows] = mix(h[rows] * ODD ^ (loads[starts[rows] + at] & _MASKS[np.minimum(size[rows] - at, 8)]))
+        at += 8
+        rows = rows[size[rows] > at]
+    for r in rows.tolist():
+        h[r] = xxhash.xxh3_64_intdigest(buf[starts[r] : ends[r]].tobytes())
+    return h
+
+
+def chained(hashes: np.ndarray, at: np.ndarray, size: int) -> np.ndarray:
+    """A hash of each ``size`` hashes in a row, in their order."""
+    h = np.full(len(at), U64(size))
+    for k in range(size):
+        h = mix(h * ODD ^ hashes[at + k])
+    return h
+
+
+def same_bytes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, other: np.ndarray) -> np.ndarray:
+    """Whether each span holds the same bytes as the span numbered ``other``."""
+    size, loads = ends - starts, _loads(buf)
+    same = size == size[other]
+    mask = _MASKS[np.minimum(size, 8)]
+    same &= loads[starts] & mask == loads[starts[other]] & mask
+    at, rows = 8, np.flatnonzero(same & (size > 8))
+    while len(rows) and at < LONG_WORD:
+        mask = _MASKS[np.minimum(size[rows] - at, 8)]
+        same[rows] = loads[starts[rows] + at] & mask == loads[starts[other[rows]] + at] & mask
+        at += 8
+        rows = rows[same[rows] & (size[rows] > at)]
+    for r in rows.tolist():
+        o = other[r]
+        same[r] = r == o or bool((buf[starts[r] : ends[r]] == buf[starts[o] : ends[o]]).all())
+    return same
+
+
+def distinct(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray):
+    """(codes, first): the number of each span's content and the first span of each, by its bytes."""
+    codes, kinds = pd.factorize(word_hashes(buf, starts, ends))
+    n = len(kinds)
+    if len(codes) and not same_bytes(buf, starts, ends, _first(codes, n)[codes]).all():  # hashes met
+        raw, seen = buf.tobytes(), {}
+        codes = np.fromiter((seen.setdefault(raw[a:b], len(seen)) for a, b in zip(starts.tolist(), ends.tolist())), np.int64, len(starts))
+        n = len(seen)
+    return codes, _first(codes, n)
+
+
+def _first(codes: np.ndarray, n: int) -> np.ndarray:
+    first = np.zeros(n, np.int64)
+    first[codes[::-1]] = np.arange(len(codes) - 1, -1, -1)
+    return first
+
+
+def digests(raw: bytes, starts: np.ndarray, ends: np.ndarray):
+    """XXH3 of 128 bits of each span's bytes, as two arrays of longs."""
+    d = xxhash.xxh3_128_digest
+    out = np.frombuffer(b"".join([d(raw[a:b]) for a, b in zip(starts.tolist(), ends.tolist())]), np.int64)
+    return out[0::2], out[1::2]
 
 
 def lower_ascii(buf: np.ndarray) -> np.ndarray:
@@ -170,36 +248,41 @@ def sliding_argmin(values: np.ndarray, width: int) -> np.ndarray:
     return (least & ((U64(1) << bits) - U64(1))).astype(np.int64)
 
 
-def anchors(symbols: np.ndarray, offs: np.ndarray, window: int, gram: int):
+def anchors(symbols: np.ndarray, offs: np.ndarray, window: int, gram: int, levels: tuple[int, ...] = ()):
     """Content-chosen anchors of all ``window``-symbol windows of the documents.
 
     Every window has one anchor, its leftmost smallest ``gram``-symbol hash, so
     equal windows share the anchor's content and its place inside the window.
     Returns per anchor run: document index, first and last window start ``lo``,
     ``hi`` and the anchor's place ``at`` (in flat symbols), ``key`` (the gram's
-    hash) and ``sig`` (the hash of everything its windows cover, by another base).
+    hash), and for each of ``levels`` the hashes of that many symbols from the
+    anchor on and up to the anchor's end, 31 bits each; -1: they leave the document.
     """
     n = len(symbols)
     empty = np.zeros(0, np.int64)
-    none = empty, empty, empty, empty, empty.astype(U64), empty.astype(U64)
     if n < window:
-        return none
-    one, two = Rolling(symbols), Rolling(mix(symbols), POWERS2)
+        return empty, empty, empty, empty, empty.astype(U64), [empty.astype(np.int32)] * 2 * len(levels)
+    rolling = Rolling(symbols)
     at = np.arange(n - gram + 1)
-    grams = one.of(at, at + gram)
+    grams = rolling.of(at, at + gram)
     pick = sliding_argmin(grams, window - gram + 1)[: n - window + 1]
     docs = doc_of(offs, n)
     valid = docs[: n - window + 1] == docs[window - 1 :]
     start = np.flatnonzero(valid)
-    if not len(start):
-        return none
     anchor = pick[start]
     new = np.ones(len(start), bool)
     new[1:] = (anchor[1:] != anchor[:-1]) | (docs[start[1:]] != docs[start[:-1]])
     first = np.flatnonzero(new)
     lo = start[first]
-    hi = start[np.append(first[1:], len(start)) - 1]
-    return docs[lo], lo, hi, anchor[first], grams[anchor[first]], two.of(lo, hi + window)
+    hi = start[np.append(first[1:], len(start)) - 1] if len(start) else empty
+    own, at = docs[lo], anchor[first]
+    wider = []
+    for size in levels:
+        for begin, end in ((at, at + size), (at + gram - size, at + gram)):
+            inside = (begin >= offs[own]) & (end <= offs[own + 1])
+            h = rolling.of(np.where(inside, begin, 0), np.where(inside, end, 0)) >> U64(33)
+            wider.append(np.where(inside, h.astype(np.int64), -1).astype(np.int32))
+    return own, lo, hi, at, grams[at], wider
 
 
 def signed(x: np.ndarray) -> np.ndarray:

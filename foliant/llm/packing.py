@@ -25,7 +25,6 @@ import zlib
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
@@ -96,9 +95,7 @@ class ByteBpe:
         first[np.searchsorted(place, offs[:-1][np.diff(offs) > 0])] = True
         at = place[np.flatnonzero(spaced_words(points, first))]
         to = np.append(at[1:], len(buf))
-        codes, _ = pd.factorize(K.word_hashes(buf, at, to))
-        one = np.zeros(codes.max() + 1, np.int64)
-        one[codes[::-1]] = np.arange(len(codes) - 1, -1, -1)
+        codes, one = K.distinct(buf, at, to)
         known = [self.word(raw[a:b]) for a, b in zip(at[one].tolist(), to[one].tolist())]
         size = np.array([len(k) for k in known], np.int64)
         flat = np.concatenate(known)

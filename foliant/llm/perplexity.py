@@ -63,7 +63,7 @@ def _dup_lines(buf, offs, starts, n):
     worded = np.searchsorted(starts, end) > np.searchsorted(starts, begin)
     doc = np.searchsorted(offs, begin, "right") - 1
     begin, end, doc = begin[worded], end[worded], doc[worded]
-    lines = K.Rolling(K.byte_symbols(buf)).of(begin, end)
+    lines = K.word_hashes(buf, begin, end)
     order = np.lexsort((lines, doc))
     again = np.zeros(len(order), bool)
     again[1:] = (lines[order][1:] == lines[order][:-1]) & (doc[order][1:] == doc[order][:-1])
@@ -77,7 +77,7 @@ def _repeat_words(hashes, cut, size):
         return np.zeros(n, np.int64)
     doc = K.doc_of(cut, m)
     at = np.flatnonzero(doc[: m - size + 1] == doc[size - 1 :])
-    windows = K.Rolling(hashes).of(at, at + size)
+    windows = K.chained(hashes, at, size)
     order = np.lexsort((windows, doc[at]))
     same = (windows[order][1:] == windows[order][:-1]) & (doc[at][order][1:] == doc[at][order][:-1])
     twice = np.zeros(len(at), bool)

@@ -6,30 +6,23 @@ lost executor costs a re-read, not a failed job.
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 
-SETTING = "spark.checkpoint.dir"
-
+from foliant.sources.shared import fresh
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; only where that is unset, as in tests, one of our own."""
-    base = spark.conf.get(SETTING, None) or spark.sparkContext.getConf().get(SETTING)
-    if not base:
-        base = "file://" + tempfile.mkdtemp(prefix="foliant-")
-        spark.conf.set(SETTING, base)
-    return base.rstrip("/")
+#: Bytes of one Arrow batch between Spark and a Python worker, at most.
+BATCH_BYTES = 8 << 20
 
 
-def fresh(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/foliant/{name}-{uuid.uuid4().hex}"
+def bounded(spark: SparkSession) -> None:
+    """Keeps Arrow batches small: a batch is held by the executor and by its worker, for each of its cores."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` as a Parquet table of the shared folder, read back."""
     spark, path = df.sparkSession, fresh(df.sparkSession, name)
+    bounded(spark)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

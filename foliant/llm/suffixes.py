@@ -4,25 +4,26 @@ A collection's Burrows-Wheeler order and common prefixes are built column by
 column: each round puts one more symbol before the suffix of every text.  The
 new order is the old one dealt out stably by the new symbols (the texts' next
 BWT column), and a new common prefix is one more than the least old one between
-the two suffixes.  Symbols come from an external file of columns, read once from
-end to end; orders and prefixes of the last round alone stay in memory.
+the two suffixes.  Symbols come from a sequence of columns that is written once
+and read once from end to end; orders and prefixes of the last round alone stay.
+The columns of ``COLLECTION_TEXTS`` texts are a few megabytes, so they stay in
+memory: a file of a task's own would lie on one machine.
 
 The corpus is cut into collections by content.  A window of ``WINDOW`` bytes has
-one anchor, equal windows the same one at the same place, so a collection takes
-the surroundings of anchors with equal keys, lined up on the anchor, and windows
-can be equal only in the same column.  Surroundings that are equal as a whole
-are one class and need no construction; classes that share a key with no other
-have no partner.  Keys with more than ``HOT_CLASSES`` different surroundings (a
-passage in a great part of all documents) would make one collection too large
-for a task; their windows are dealt out by hashes instead, first by what ``BIN``
-neighbouring windows have in common, then, where that repeats, one by one, which
-gives the same verdicts.
+one anchor, equal windows the same one at the same place, so windows can be equal
+only under one anchor key and in the same column.  Surroundings of anchors that
+are equal as a whole are one class and need no construction.  The others' windows
+are dealt out by their distance to the anchor, ``BIN`` neighbours together, and by
+the bytes that all windows of such a bin hold (its core): a collection is what
+shares a core, lined up on the anchor.  Where more than ``MOST_TEXTS`` different
+texts share one, they are dealt out again by bins of half the width, which puts
+the next columns of their context into the core, until the collection is small.
 """
 
 from __future__ import annotations
 
 import hashlib
-import tempfile
+import io
 
 import numpy as np
 import pyarrow as pa
@@ -30,18 +31,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import kernel as K
-from .repeats import classes, flag_spans, keyed, merged, runs
-from .shared import written
+from .repeats import candidates, classes, flag_spans, keyed, merged, runs
+from .shared import removed, written
 
 WINDOW, GRAM = 400, 32
-HOT_CLASSES = 2000
 BIN = 32
+MOST_TEXTS = 2000
 COLLECTION_TEXTS = 12_000
 END = 0xFF  # never a byte of UTF-8
+PIECE = "s1 long, s2 long, doc long, uid long, lo int, hi int, at int, n long, piece binary"
+CORE = ["b", "c1", "c2"]
 
 
-def byte_symbols(buf, offs):
-    return K.byte_symbols(buf), offs
+def byte_units(buf, offs):
+    return buf, offs, buf.tobytes(), lambda a, b: (a, b + 1)
 
 
 def range_least(values: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -75,143 +78,198 @@ def repeated(texts: list[np.ndarray], anchor: np.ndarray, first: np.ndarray, las
     out = [np.zeros(max(0, int(b) - int(a) + 1), bool) for a, b in zip(first, last)]
     row = np.arange(m)
     found_rows, found_columns = [], []
-    with tempfile.TemporaryFile() as columns:
-        for c in range(right - 1, -left - 1, -1):
-            at = anchor + c
-            inside = (at >= 0) & (at < size)
-            column = np.full(m, END, np.uint8)
-            column[inside] = flat[(begin + at)[inside]]
-            columns.write(column.tobytes())
-        columns.seek(0)
-        order, prefix = row, np.zeros(m, np.int32)
-        for c in range(right - 1, -left - 1, -1):
-            column = np.frombuffer(columns.read(m), np.uint8)
-            symbol = column[order]
-            deal = np.argsort(symbol, kind="stable")
-            order = order[deal]
-            symbol = symbol[deal]
-            new = np.zeros(m, np.int32)
-            same = np.flatnonzero((symbol[1:] == symbol[:-1]) & (symbol[1:] != END)) + 1
-            new[same] = np.minimum(range_least(prefix, deal[same - 1], deal[same]) + 1, window)
-            prefix = new
-            if c <= 0:
-                pair = np.flatnonzero(prefix >= window)
-                if len(pair):
-                    hit = np.unique(np.concatenate([order[pair], order[pair - 1]]))
-                    at = anchor[hit] + c
-                    ok = (at >= first[hit]) & (at <= last[hit])
-                    found_rows.append(hit[ok])
-                    found_columns.append((at - first[hit])[ok])
+    columns = io.BytesIO()
+    for c in range(right - 1, -left - 1, -1):
+        at = anchor + c
+        inside = (at >= 0) & (at < size)
+        column = np.full(m, END, np.uint8)
+        column[inside] = flat[(begin + at)[inside]]
+        columns.write(column.tobytes())
+    columns.seek(0)
+    order, prefix = row, np.zeros(m, np.int32)
+    for c in range(right - 1, -left - 1, -1):
+        column = np.frombuffer(columns.read(m), np.uint8)
+        symbol = column[order]
+        deal = np.argsort(symbol, kind="stable")
+        order = order[deal]
+        symbol = symbol[deal]
+        new = np.zeros(m, np.int32)
+        same = np.flatnonzero((symbol[1:] == symbol[:-1]) & (symbol[1:] != END)) + 1
+        new[same] = np.minimum(range_least(prefix, deal[same - 1], deal[same]) + 1, window)
+        prefix = new
+        if c <= 0:
+            pair = np.flatnonzero(prefix >= window)
+            if len(pair):
+                hit = np.unique(np.concatenate([order[pair], order[pair - 1]]))
+                at = anchor[hit] + c
+                ok = (at >= first[hit]) & (at <= last[hit])
+                found_rows.append(hit[ok])
+                found_columns.append((at - first[hit])[ok])
     if found_rows:
         for i, k in zip(np.concatenate(found_rows).tolist(), np.concatenate(found_columns).tolist()):
             out[i][k] = True
     return out
 
 
-def _surroundings(docs: DataFrame, asked: DataFrame, window: int, hot: int) -> DataFrame:
-    """What the asked runs' windows cover: (key, uid, lo, hi, at, n, piece), bin null.
+def _table(types: str, *columns) -> pa.RecordBatch:
+    """A batch of the named types: "name type, ..."."""
+    kinds = {"long": pa.int64(), "int": pa.int32(), "binary": pa.binary()}
+    fields = [f.split() for f in types.split(", ")]
+    return pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, kinds[k]) for c, (_, k) in zip(columns, fields)], [n for n, _ in fields])
 
-    Runs under a hot key come in bins of ``BIN`` window places instead, without
-    text: (key, uid, lo, n, bin, core, h1, h2): the hash of the bytes that all
-    windows of the bin hold, and two hashes of each window of the run in it.
-    """
-    wanted = asked.groupBy("uid").agg(F.collect_list(F.struct("key", "lo", "hi", "at", "n", (F.col("variants") > hot).alias("hot"))).alias("runs"))
-    schema = "key long, uid long, lo int, hi int, at int, n long, piece binary, bin int, core long, h1 array<long>, h2 array<long>"
-    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.int32(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64())]
-    names = [x.split()[0] for x in schema.split(", ")]
-
-    def binned(r, uid, piece):
-        values = K.byte_symbols(np.frombuffer(piece, np.uint8))
-        one, two = K.Rolling(values), K.Rolling(K.mix(values), K.POWERS2)
-        at = r["at"] - r["lo"]
-        start = np.arange(r["hi"] - r["lo"] + 1)
-        size = min(BIN, window // 2)
-        place = (at - start) // size
-        h1, h2 = K.signed(one.of(start, start + window)), K.signed(two.of(start, start + window))
-        for b in np.unique(place).tolist():
-            own = np.flatnonzero(place == b)
-            first = np.array([at - b * size])
-            core = one.of(first, first - size + 1 + window)
-            yield r["key"], uid, r["lo"] + int(own[0]), None, None, r["n"], None, b, int(K.signed(core)[0]), h1[own].tolist(), h2[own].tolist()
+
+def _surroundings(docs: DataFrame, asked: DataFrame, window: int) -> DataFrame:
+    """What the asked runs' windows cover, as ``PIECE``: n rows of the class, and the bytes from lo to the end of the window at hi."""
+    wanted = asked.groupBy("doc", "uid").agg(F.collect_list(F.struct("s1", "s2", "lo", "hi", "at", "n")).alias("runs"))
 
     def run(batches):
         for batch in batches:
-            uids, lists, texts = batch.column(0).to_pylist(), batch.column(2).to_pylist(), batch.column(1)
             rows, held = [], 0
-            for uid, own, text in zip(uids, lists, texts):
+            for doc, uid, text, own in zip(*(c.to_pylist() for c in batch.columns[:2]), batch.column(2), batch.column(3).to_pylist()):
                 raw = text.as_py().encode()
                 for r in own:
-                    piece = raw[r["lo"] : r["hi"] + window]
-                    rows += binned(r, uid, piece) if r["hot"] else [(r["key"], uid, r["lo"], r["hi"], r["at"], r["n"], piece, None, None, None, None)]
-                    held += len(piece) * (8 if r["hot"] else 1)
+                    rows.append((r["s1"], r["s2"], doc, uid, r["lo"], r["hi"], r["at"], r["n"], raw[r["lo"] : r["hi"] + window]))
+                    held += len(rows[-1][-1])
                 if held > K.SLICE_BYTES:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
+                    yield _table(PIECE, *zip(*rows))
                     rows, held = [], 0
             if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
+                yield _table(PIECE, *zip(*rows))
+
+    texts = docs.select("uid", "doc", "text").join(wanted, ["doc", "uid"]).select("doc", "uid", "text", "runs")
+    return texts.mapInArrow(run, PIECE)
+
 
-    return docs.select("uid", "text").join(wanted, "uid").mapInArrow(run, schema)
+def _bins(lo, hi, at, size):
+    """Row, bin, first and last window start of every bin of ``size`` window places that a row has windows in."""
+    low, high = (at - hi) // size, (at - lo) // size
+    row = np.repeat(np.arange(len(lo)), high - low + 1)
+    b = K.ragged(low, high - low + 1)
+    last = at[row] - b * size
+    return row, b, np.maximum(lo[row], last - size + 1), np.minimum(hi[row], last)
 
 
-def _dealt(bins: DataFrame, window: int) -> DataFrame:
-    """Spans of the repeated windows of lone runs under hot keys: bins whose core repeats are looked at window by window."""
-    cores = written(bins.groupBy("key", "bin", "core").agg(F.count("*").alias("c")).where("c > 1").drop("c"), "cores")
-    pairs = bins.join(cores, ["key", "bin", "core"]).select("key", "uid", "n", "lo", F.posexplode(F.arrays_zip("h1", "h2")).alias("step", "h"))
-    windows = written(pairs.select("key", "uid", "n", (F.col("lo") + F.col("step")).alias("at"), "h.h1", "h.h2"), "windows")
-    twice = written(windows.groupBy("key", "h1", "h2").agg(F.count("*").alias("c")).where("c > 1").drop("c"), "repeated")
-    return windows.where("n = 1").join(twice, ["key", "h1", "h2"]).select("uid", F.col("at").alias("start"), (F.col("at") + window).alias("end"))
+def _binned(pieces: DataFrame, size: int, window: int) -> DataFrame:
+    """(s1, s2, doc, uid, n, b, c1, c2, p1, p2, start, count): every bin of a piece, with digests of its core and of all that its windows cover."""
+    types = "s1 long, s2 long, doc long, uid long, n long, b int, c1 long, c2 long, p1 long, p2 long, start int, count int"
+
+    def run(batches):
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            lo, hi, at = (batch.column(i).to_numpy().astype(np.int64) for i in (4, 5, 6))
+            texts = batch.column(8).cast(pa.large_binary())
+            place = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts)]
+            raw = texts.buffers()[2].to_pybytes()
+            row, b, x, y = _bins(lo, hi, at, size)
+            base = place[row] - lo[row]
+            core = base + at[row] - b * size
+            c, p = K.digests(raw, core, core - size + 1 + window), K.digests(raw, base + x, base + y + window)
+            take = pa.array(row)
+            yield _table(types, *(batch.column(i).take(take) for i in (0, 1, 2, 3, 7)), b, *c, *p, x, y - x + 1)
+
+    return pieces.mapInArrow(run, types)
+
+
+def _parts(pieces: DataFrame, kinds: DataFrame, size: int, window: int) -> DataFrame:
+    """``PIECE`` of each of ``kinds`` (CORE, p1, p2, m, s1, s2, hot), with its core and whether that is hot."""
+    types = "b int, c1 long, c2 long, hot int, " + PIECE
+    wanted = kinds.groupBy("s1", "s2").agg(F.collect_list(F.struct(*CORE, "p1", "p2", "m", "hot")).alias("bins"))
+
+    def run(batches):
+        for batch in batches:
+            rows = []
+            for doc, uid, lo, hi, at, text, bins in zip(*(c.to_pylist() for c in batch.columns)):
+                for w in bins:
+                    last = at - w["b"] * size
+                    x, y = max(lo, last - size + 1), min(hi, last)
+                    rows.append((w["b"], w["c1"], w["c2"], w["hot"], w["p1"], w["p2"], doc, uid, x, y, at, w["m"], text[x - lo : y - lo + window]))
+                if len(rows) > 4096:
+                    yield _table(types, *zip(*rows))
+                    rows = []
+            if rows:
+                yield _table(types, *zip(*rows))
+
+    return pieces.join(wanted, ["s1", "s2"]).select("doc", "uid", "lo", "hi", "at", "piece", "bins").mapInArrow(run, types)
 
 
 def _constructed(batches, window: int):
-    """Spans of the repeated windows of lone runs; input sorted by key, collections cut between keys."""
+    """Spans of the repeated windows of lone pieces; input sorted by core, collections cut between cores."""
+    types = "doc long, uid long, start int, end int"
 
     def solve(rows):
         cols = list(zip(*rows))
-        texts = [np.frombuffer(p, np.uint8) for p in cols[6]]
-        lo, hi, at = (np.array(cols[i], np.int64) for i in (2, 3, 4))
+        texts = [np.frombuffer(p, np.uint8) for p in cols[9]]
+        lo, hi, at = (np.array(cols[i], np.int64) for i in (5, 6, 7))
         flags = repeated(texts, at - lo, np.zeros(len(rows), np.int64), hi - lo, window)
-        uid, start, end = [], [], []
-        for r, f in zip(rows, flags):
-            if r[5] == 1 and f.any():
-                for a, b in zip(*flag_spans(f)):
-                    uid.append(r[1])
-                    start.append(r[2] + int(a))
-                    end.append(r[2] + int(b) - 1 + window)
-        return pa.RecordBatch.from_arrays([pa.array(uid, pa.int64()), pa.array(start, pa.int32()), pa.array(end, pa.int32())], ["uid", "start", "end"])
+        out = [(r[3], r[4], r[5] + int(a), r[5] + int(b) - 1 + window) for r, f in zip(rows, flags) if r[8] == 1 and f.any() for a, b in zip(*flag_spans(f))]
+        return _table(types, *zip(*out)) if out else None
 
     rows: list = []
     for batch in batches:
         for r in zip(*(c.to_pylist() for c in batch.columns)):
-            if len(rows) >= COLLECTION_TEXTS and r[0] != rows[-1][0]:
-                yield solve(rows)
+            if len(rows) >= COLLECTION_TEXTS and r[:3] != rows[-1][:3]:
+                if (out := solve(rows)) is not None:
+                    yield out
                 rows = []
             rows.append(r)
-    if rows:
-        yield solve(rows)
-
-
-def removals(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, hot: int = HOT_CLASSES) -> DataFrame:
-    """(uid, spans): byte spans to remove, for each document that has any."""
-    found = runs(docs, byte_symbols, window, gram)
+    if rows and (out := solve(rows)) is not None:
+        yield out
+
+
+def _dealt(pieces: DataFrame, window: int, most: int) -> list[DataFrame]:
+    """Spans (doc, uid, start, end) of the repeated windows of lone pieces; deletes ``pieces``."""
+    spark, size = pieces.sparkSession, min(BIN, window // 2)
+    spans = []
+    while True:
+        bins = written(_binned(pieces, size, window), "bins")
+        kinds = bins.groupBy(*CORE, "p1", "p2").agg(F.sum("n").alias("m"), F.count("*").alias("k"), F.min(F.struct("s1", "s2")).alias("r"))
+        kinds = written(kinds.select(*CORE, "p1", "p2", "m", "k", "r.*"), "kinds")
+        # what is equal as a whole is repeated as a whole
+        equal = bins.where("n = 1").join(kinds.where("k > 1").select("b", "p1", "p2"), ["b", "p1", "p2"])
+        spans.append(written(equal.select("doc", "uid", "start", (F.col("start") + F.col("count") - 1 + window).alias("end")), "equal"))
+        removed(spark, bins)
+        cores = written(kinds.groupBy(*CORE).agg(F.count("*").alias("c")).where("c > 1").select(*CORE, (F.col("c") > most).cast("int").alias("hot")), "cores")
+        parts = written(_parts(pieces, kinds.join(cores, CORE), size, window), "parts")
+        removed(spark, kinds, pieces)
+        small = parts.where("hot = 0" if size > 1 else "true").select(*CORE, "doc", "uid", "lo", "hi", "at", "n", "piece")
+        lined = small.repartition(*CORE).sortWithinPartitions(*CORE)
+        spans.append(written(lined.mapInArrow(lambda x: _constructed(x, window), "doc long, uid long, start int, end int"), "built"))
+        done = size == 1 or cores.where("hot = 1").isEmpty()
+        removed(spark, cores)
+        if done:
+            removed(spark, parts)
+            return spans
+        pieces = written(parts.where("hot = 1").select(*[f.split()[0] for f in PIECE.split(", ")]), "pieces")
+        removed(spark, parts)
+        size //= 2
+
+
+def removals(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, most: int = MOST_TEXTS) -> DataFrame:
+    """(doc, uid, spans): byte spans to remove, for each document that has any; written."""
+    spark = docs.sparkSession
+    found = candidates(runs(docs, byte_units, window, gram, lift=K.byte_symbols))
     every = classes(found)
-    many = written(every.where("n > 1 or variants > 1"), "decided")
-    whole = found.join(many.where("n > 1").select("key", "sig"), ["key", "sig"]).select("uid", F.col("lo").alias("start"), (F.col("hi") + window).alias("end"))
-    pieces = written(_surroundings(docs, many.where("variants > 1"), window, hot), "pieces")
-    lined = pieces.where("bin is null").select("key", "uid", "lo", "hi", "at", "n", "piece").repartition(F.col("key")).sortWithinPartitions("key")
-    built = lined.mapInArrow(lambda b: _constructed(b, window), "uid long, start int, end int")
-    dealt = _dealt(pieces.where("bin is not null"), window)
-    return whole.union(built).union(dealt).groupBy("uid").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
+    whole = found.join(every.where("n > 1").select("s1", "s2"), ["s1", "s2"]).select("doc", "uid", F.col("lo").alias("start"), (F.col("hi") + window).alias("end"))
+    shared = every.groupBy("key").agg(F.count("*").alias("c")).where("c > 1").select("key")
+    pieces = written(_surroundings(docs, every.join(shared, "key", "left_semi"), window), "pieces")
+    parts = _dealt(pieces, window, most)
+    for own in parts:
+        whole = whole.union(own.select("doc", "uid", "start", "end"))
+    out = written(whole.groupBy("doc", "uid").agg(F.collect_set(F.struct("start", "end")).alias("spans")), "spans")
+    removed(spark, found, every, *parts)
+    return out
 
 
-def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, gram: int = GRAM, hot: int = HOT_CLASSES, digest: bool = False) -> DataFrame:
+def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, gram: int = GRAM, most: int = MOST_TEXTS, digest: bool = False) -> DataFrame:
     """(id, n_bytes, n_removed, n_spans, kept): kept holds the bytes left (or their digest, a string).
 
     A byte goes if a ``window``-byte string that covers it also starts anywhere
-    else; all strings are judged on the input.  A null text is empty; repeated
-    rows remove each other.
+    else; all strings are judged on the input.  A null text is empty; null ids are
+    ids of no order here; repeated rows remove each other.
     """
     rows = keyed(docs, id_col, text_col)
-    spans = written(removals(rows, window, gram, hot), "spans")
+    spans = removals(rows, window, gram, most)
 
     def run(batches):
         for batch in batches:
@@ -232,5 +290,5 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 n = np.diff(offs)
                 yield pa.RecordBatch.from_arrays([batch.column(0)[a:b], pa.array(n), pa.array(n - np.diff(cut)), pa.array(n_spans), kept], ["id", "n_bytes", "n_removed", "n_spans", "kept"])
 
-    joined = rows.join(spans, "uid", "left").select("id", "text", "spans")
+    joined = rows.join(spans, ["doc", "uid"], "left").select("id", "text", "spans")
     return joined.mapInArrow(run, "id long, n_bytes long, n_removed long, n_spans long, kept " + ("string" if digest else "binary"))

@@ -54,10 +54,10 @@ def test_collection_against_brute_force():
 
 
 def test_against_brute_force(spark):
-    for seed, size, gram, hot in ((1, 400, 32, 2000), (2, 40, 8, 2000), (3, 40, 8, 3)):
+    for seed, size, gram, most in ((1, 400, 32, 2000), (2, 40, 8, 2000), (3, 40, 8, 3)):
         texts = corpus(random.Random(seed), size)
         frame = docs(spark, texts).selectExpr("*", "1 as uid", "'x' as kept")
-        got = sorted(tuple(r) for r in suffixes.deduplicated(frame, window=size, gram=gram, hot=hot).collect())
+        got = sorted(tuple(r) for r in suffixes.deduplicated(frame, window=size, gram=gram, most=most).collect())
         assert [(a, b, c, d, bytes(e)) for a, b, c, d, e in got] == brute(texts, size)
 
 
