@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import kernel as K
-from .shared import written
+from .shared import bounded, kept_types, removed, written
 
 ORDER = 3
 BINS, BIN = 16_384, 1 / 1024
@@ -246,10 +246,11 @@ class Model:
 
 
 # ---------------------------------------------------------------- the operator
-def scored(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """(id, model, the base counts, base_failed, log_ppl, n_points, deviation) of every row, written to the shared folder."""
+def scored(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", carry: tuple[str, ...] = ()) -> DataFrame:
+    """(id, model, the base counts, base_failed, log_ppl, n_points) of every row, written to the shared folder; then ``carry``, as k_<name>."""
     spark = docs.sparkSession
-    frame = docs.select(model_name(F.col(lang_col)).alias("model"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"), F.col(id_col).cast("long").alias("id"))
+    bounded(spark)
+    frame = docs.select(model_name(F.col(lang_col)).alias("model"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"), F.col(id_col).cast("long").alias("id"), *[F.col(c).alias(f"k_{c}") for c in carry])
     model = spark.sparkContext.broadcast(Model(counted(frame.select("model", "text")).toArrow().to_pandas()))
 
     def run(batches):
@@ -259,11 +260,11 @@ def scored(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang
                 base = base_counts(buf, offs)
                 log_ppl, n = model.value.scores(buf, offs, models[a:b])
                 failed = (base["n_words"] < 10) | (100 * base["n_repeat_words"] > 20 * base["n_words"])
-                columns = [batch.column(2)[a:b], batch.column(0)[a:b], *(pa.array(v.astype(np.int64)) for v in base.values()), pa.array(failed), pa.array(log_ppl), pa.array(n)]
-                yield pa.RecordBatch.from_arrays(columns, ["id", "model", *base, "base_failed", "log_ppl", "n_points"])
+                columns = [batch.column(2)[a:b], batch.column(0)[a:b], *(pa.array(v.astype(np.int64)) for v in base.values()), pa.array(failed), pa.array(log_ppl), pa.array(n), *(c[a:b] for c in batch.columns[3:])]
+                yield pa.RecordBatch.from_arrays(columns, ["id", "model", *base, "base_failed", "log_ppl", "n_points", *batch.schema.names[3:]])
 
     schema = "id long, model long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, log_ppl double, n_points long"
-    return written(frame.mapInArrow(run, schema), "scores")
+    return written(frame.mapInArrow(run, schema + kept_types(frame, 3)), "scores")
 
 
 def bands(scores: DataFrame) -> DataFrame:
@@ -278,15 +279,15 @@ def bands(scores: DataFrame) -> DataFrame:
     return written(found.select("of", (F.col("middle") - half).alias("low"), (F.col("middle") + half).alias("high")), "bands")
 
 
-def judged(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """(id, base counts, base_failed, log_ppl, kept) of every row.
+def judged(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", carry: tuple[str, ...] = ()) -> DataFrame:
+    """(id, base counts, base_failed, log_ppl, kept) of every row, and the columns named in ``carry``, as k_<name>.
 
     A document is kept if the base rules pass and its log perplexity lies in its
     language's band, which is widened for short texts, whose means scatter more:
     by ``sqrt(1 + SHORT / code points)``.  Null and empty texts fail the base
     rules; a null language is a language; repeated rows get the same verdict.
     """
-    scores = scored(docs, id_col, text_col, lang_col)
+    scores = scored(docs, id_col, text_col, lang_col, carry)
     low, high = F.col("low"), F.col("high")
     middle, half = (low + high) / 2, (high - low) / 2
     wide = half * F.sqrt(1 + F.lit(float(SHORT)) / F.greatest("n_points", F.lit(1)))

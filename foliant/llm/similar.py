@@ -8,15 +8,22 @@ links, never all pairs.  Fingerprints miss most pairs that differ by a block of
 words, so texts also meet by MinHash: ``BANDS`` keys of ``ROWS`` minima over the
 very shingles that verification compares.  A pair of similarity j misses all of
 them with chance ``(1 - j**ROWS)**BANDS``, however the words differ: at 0.8 three
-in a million.  Inside each component texts are then linked
-if the exact Jaccard similarity of their sets of ``SHINGLE``-word shingles is at
-least ``SIMILAR``, and a group is what such links reach: its least id stays.
-
-Equal texts are one row throughout.  A component of at most ``SMALL`` texts is
-settled in one step; of a larger one each round compares ``HEADS`` texts with all
-others, in blocks, until all that are left are in one group or few enough, so no
-component is ever held whole.  Heads come from outside the largest group, whose
-members need not be compared with each other.
+in a million.
+
+Two texts are linked if the exact Jaccard similarity of their sets of
+``SHINGLE``-word shingles is at least ``SIMILAR``; a group is what links reach, and
+its least id stays.  Links are sought bucket by bucket (texts that share a key):
+
+1. every text is compared with the least of each of its buckets;
+2. buckets whose texts then are still in several groups, of at most ``SMALL``
+   texts, compare across those groups in one task;
+3. the texts of larger ones (a passage that many share) are dealt out again by
+   their rarest shingles: similar texts share one of the rarest fifth, whatever
+   they share besides; then steps 1 and 2;
+4. what is left is compared ``HEADS`` texts a round with all others of the
+   bucket, in blocks, until its texts are in one group or few enough.
+
+Equal texts are one row throughout, and texts of one group are never compared.
 """
 
 from __future__ import annotations
@@ -24,6 +31,7 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -31,12 +39,12 @@ from . import kernel as K
 from .components import components
 from .near_dup import _ball, shingle_hashes
 from .near_dup import SHINGLE as FINGERPRINT_SHINGLE
-from .shared import written
+from .shared import removed, written
 
 SHINGLE, SIMILAR = 5, 0.8
 RADIUS, SEGMENTS = 5, 3
 BANDS, ROWS = 24, 4
-SMALL, HEADS, BLOCK = 500, 250, 250
+SMALL, HEADS, BLOCK = 200, 250, 250
 SEEDS = (0x243F6A8885A308D3, 0x13198A2E03707344)
 BOUNDS = [64 * i // SEGMENTS for i in range(SEGMENTS + 1)]
 PAIRS = 1 << 19
@@ -147,8 +155,8 @@ def _linked(batches):
     K.trimmed()
 
 
-def candidates(nodes: DataFrame) -> DataFrame:
-    """(a, b): links that connect all texts whose fingerprints are near or that share a MinHash key."""
+def near_prints(nodes: DataFrame) -> DataFrame:
+    """(a, b): links that connect all texts whose fingerprints are near."""
     tables, probes = [], []
     for f in range(3):
         for s in range(SEGMENTS):
@@ -160,23 +168,23 @@ def candidates(nodes: DataFrame) -> DataFrame:
     rows = nodes.select("node", F.inline(F.array(*tables, *probes)))
     rows = rows.select("space", "probe", "fp", "node", "key", F.explode("masks").alias("mask"))
     rows = rows.select("space", F.col("key").bitwiseXOR(F.col("mask")).alias("key"), "probe", "fp", "node")
-    near = rows.repartition("space", "key").sortWithinPartitions("space", "key", "probe").mapInArrow(_linked, "a long, b long")
-    keys = nodes.select("node", F.explode("bands").alias("key"))
-    first = keys.groupBy("key").agg(F.min("node").alias("b"), F.count("*").alias("n")).where("n > 1").select("key", "b")
-    return near.union(keys.join(first, "key").where("node <> b").select(F.col("node").alias("a"), "b"))
+    return rows.repartition("space", "key").sortWithinPartitions("space", "key", "probe").mapInArrow(_linked, LINKS)
 
 
-def _shingles(rows: DataFrame) -> DataFrame:
-    """(label, node, set): the sorted hashes of each text's shingles, as bytes."""
+LINKS = "a long, b long"
+
+
+def shingle_sets(rows: DataFrame) -> DataFrame:
+    """(node, set): the sorted hashes of each (node, text)'s shingles, as bytes."""
 
     def run(batches):
         for batch in batches:
-            for a, b, buf, offs in K.slices(batch.column(2)):
+            for a, b, buf, offs in K.slices(batch.column(1)):
                 h, cut = shingle_hashes(buf, offs, SHINGLE)
                 sets = [np.unique(h[x:y]).tobytes() for x, y in zip(cut[:-1].tolist(), cut[1:].tolist())]
-                yield pa.RecordBatch.from_arrays([batch.column(0)[a:b], batch.column(1)[a:b], pa.array(sets, pa.binary())], ["label", "node", "set"])
+                yield pa.RecordBatch.from_arrays([batch.column(0)[a:b], pa.array(sets, pa.binary())], ["node", "set"])
 
-    return rows.select("label", "node", "text").mapInArrow(run, "label long, node long, set binary")
+    return rows.select("node", "text").mapInArrow(run, "node long, set binary")
 
 
 def alike(x: bytes, y: bytes) -> bool:
@@ -188,26 +196,36 @@ def alike(x: bytes, y: bytes) -> bool:
     return both >= SIMILAR * (len(a) + len(b) - both)
 
 
-LINKS = "a long, b long"
+def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Of the pairs (a, b), those that are alike."""
+
+    def run(batches):
+        for batch in batches:
+            yield batch.filter(pa.array([alike(x.as_py(), y.as_py()) for x, y in zip(batch.column(2), batch.column(3))], pa.bool_())).select(["a", "b"])
+
+    both = pairs.join(sets.toDF("a", "x"), "a").join(sets.toDF("b", "y"), "b")
+    return both.select("a", "b", "x", "y").mapInArrow(run, LINKS)
 
 
 def _grouped(group: pd.DataFrame) -> pd.DataFrame:
-    """Links (a, b) that connect the similar texts of a few: each text of a group with the group's least."""
-    rows = sorted(zip(group["node"], group["set"]))
-    parts: list[list] = []
-    for node, own in rows:
-        near = [p for p in parts if any(alike(own, s) for _, s in p)]
-        parts = [p for p in parts if not any(p is q for q in near)] + [[x for p in near for x in p] + [(node, own)]]
-    out = [(n, p[0][0]) for p in ([sorted(p) for p in parts]) for n, _ in p[1:]]
+    """Links (a, b) that connect the alike texts of a few, which are in several parts already."""
+    nodes, parts, sets = group["node"].tolist(), group["part"].tolist(), group["set"].tolist()
+    out = []
+    for i in range(1, len(nodes)):
+        for j in range(i):
+            if parts[i] != parts[j] and alike(sets[i], sets[j]):
+                out.append((nodes[i], nodes[j]))
+                old, new = parts[i], parts[j]
+                parts = [new if p == old else p for p in parts]
     return pd.DataFrame({"a": pd.Series([a for a, _ in out], dtype="int64"), "b": pd.Series([b for _, b in out], dtype="int64")})
 
 
 def _compared(members: pd.DataFrame, heads: pd.DataFrame) -> pd.DataFrame:
-    """Links (a, b) of a block of members with the heads they are like, one for each group of heads."""
+    """Links (a, b) of a block of members with the heads they are like, one for each part of the heads."""
     a, b = [], []
     for node, part, own in zip(members["node"], members["part"], members["set"]):
         met = {part}
-        for head, of, other in zip(heads["node"], heads["part"], heads["set"]):
+        for head, of, other in zip(heads["head"], heads["of"], heads["other"]):
             if of not in met and head != node and alike(own, other):
                 met.add(of)
                 a.append(node)
@@ -215,40 +233,106 @@ def _compared(members: pd.DataFrame, heads: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"a": pd.Series(a, dtype="int64"), "b": pd.Series(b, dtype="int64")})
 
 
+def _buckets(members: DataFrame) -> DataFrame:
+    """(key, first, n) of the buckets of (key, node) with more than one text; written."""
+    return written(members.groupBy("key").agg(F.min("node").alias("first"), F.count("*").alias("n")).where("n > 1"), "buckets")
+
+
+def _mixed(members: DataFrame, buckets: DataFrame, parts: DataFrame) -> DataFrame:
+    """(key, n, node, part) of the buckets of three or more texts that are in several parts; written."""
+    own = members.join(buckets.where("n > 2").select("key", "n"), "key").join(parts, "node", "left").select("key", "n", "node", F.coalesce("label", "node").alias("part"))
+    open_ = own.groupBy("key").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low < high").select("key")
+    return written(own.join(open_, "key"), "mixed")
+
+
+def _settled(mixed: DataFrame, sets: DataFrame) -> DataFrame:
+    """The links between the parts of small buckets; written."""
+    few = mixed.where(F.col("n") <= SMALL).join(sets, "node").select("key", "node", "part", "set")
+    return written(few.groupBy("key").applyInPandas(_grouped, LINKS), "links")
+
+
+def rarest(sets: DataFrame) -> DataFrame:
+    """(key, node): the rarest shingles of each set, one more than it can do without and still be similar; those of one set only left out."""
+
+    def run(batches):
+        for batch in batches:
+            size = pc.binary_length(batch.column(1)).to_numpy(zero_copy_only=False) // 8
+            flat = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.int64)
+            for x in range(0, len(flat), 1 << 18):
+                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(batch.column(0).to_numpy(), size)[x : x + (1 << 18)]), pa.array(flat[x : x + (1 << 18)])], ["node", "key"])
+
+    tokens = written(sets.mapInArrow(run, "node long, key long"), "tokens")
+    often = tokens.groupBy("key").agg(F.count("*").alias("often"))
+    own = tokens.join(often, "key").groupBy("node").agg(F.sort_array(F.collect_list(F.struct("often", "key"))).alias("all"))
+    n = F.size("all")
+    spare = n - F.ceil(n * F.lit(SIMILAR) - 1e-9).cast("int") + 1
+    out = written(own.select("node", F.inline(F.slice("all", 1, spare))).where("often > 1").select("key", "node"), "rarest")
+    removed(sets.sparkSession, tokens)
+    return out
+
+
+def _by_rounds(mixed: DataFrame, sets: DataFrame) -> list[DataFrame]:
+    """Links between the parts of large buckets, ``HEADS`` texts a round against all; heads come from outside the largest part."""
+    spark, found, same = sets.sparkSession, [], ["key", "node"]
+    active = written(mixed.where(F.col("n") > SMALL).select(*same, "part"), "active")
+    while True:
+        parts = active.groupBy("key", "part").agg(F.count("*").alias("n"))
+        sizes = parts.groupBy("key").agg(F.sum("n").alias("n"), F.count("*").alias("parts"), F.max_by("part", F.struct("n", -F.col("part"))).alias("most"))
+        open_ = written(sizes.where("parts > 1").drop("parts"), "open")
+        within = active.join(open_, "key")
+        found.append(_settled(within.select("key", "n", "node", "part"), sets))
+        large = open_.where(F.col("n") > SMALL).withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int"))
+        if large.isEmpty():
+            removed(spark, active, open_)
+            return found
+        within = active.join(large, "key")
+        rank = F.row_number().over(Window.partitionBy("key").orderBy("node"))
+        heads = written(within.where("part <> most").withColumn("r", rank).where(F.col("r") <= HEADS).select(*same, "part", "blocks"), "heads")
+        spread = heads.join(sets, "node").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(F.col("key").alias("k"), "block", F.col("node").alias("head"), F.col("part").alias("of"), F.col("set").alias("other"))
+        blocks = within.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")).join(sets, "node").select("key", "block", "node", "part", "set")
+        found.append(written(blocks.groupBy("key", "block").cogroup(spread.groupBy("k", "block")).applyInPandas(_compared, LINKS), "links"))
+        # the heads are done with; the others are known by the parts that the links so far make
+        both = active.select(F.col("node").alias("a"), F.col("part").alias("b")).where("a <> b").union(found[-1])
+        rest = within.select(*same, "part").join(heads.select(*same), same, "left_anti").join(components(both), "node", "left")
+        after = written(rest.select(*same, F.coalesce("label", "part").alias("part")), "active")
+        removed(spark, active, open_, heads)
+        active = after
+
+
 def repeats(rows: DataFrame) -> DataFrame:
     """(id): of all (id, text), the ids of texts that equal or similar ones link, over any number of texts, to a smaller id."""
+    spark = rows.sparkSession
     marked = written(prints(rows), "prints")
     one = ["same", "f0", "f1", "f2"]
     nodes = written(marked.groupBy(*one).agg(F.min("id").alias("node"), F.first("bands").alias("bands")), "nodes")
-    equal = marked.join(nodes, one).where("id <> node").select("id")
-    labels = written(components(candidates(nodes)), "labels")
-    joined = rows.withColumnRenamed("id", "node").join(labels, "node").dropDuplicates(["node"])
-    active = written(_shingles(joined).withColumn("part", F.col("node")), "shingles")
-    found = []
-    while True:
-        parts = active.groupBy("label", "part").agg(F.count("*").alias("n"))
-        sizes = parts.groupBy("label").agg(F.sum("n").alias("size"), F.count("*").alias("parts"), F.max_by("part", F.struct("n", -F.col("part"))).alias("most"))
-        open_ = written(sizes.where("parts > 1").select(F.col("label").alias("l"), "size", "most", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks")), "open")
-        within = active.join(open_, F.col("label") == F.col("l"))
-        small = within.where(F.col("size") <= SMALL).select("label", "node", "set")
-        found.append(written(small.groupBy("label").applyInPandas(_grouped, LINKS), "links"))
-        large = open_.where(F.col("size") > SMALL)
-        if large.isEmpty():
-            break
-        within = within.where(F.col("size") > SMALL)
-        rank = F.row_number().over(Window.partitionBy("label").orderBy("node"))
-        first = written(within.where("part <> most").select("label", "node").withColumn("r", rank).where(F.col("r") <= HEADS).select(F.col("node").alias("n")), "first")
-        heads = written(active.join(first, F.col("node") == F.col("n"), "left_semi"), "heads")
-        spread = heads.join(large, F.col("label") == F.col("l")).withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select("label", "block", "node", "part", "set")
-        blocks = within.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")).select("label", "block", "node", "part", "set")
-        met = blocks.groupBy("label", "block").cogroup(spread.groupBy("label", "block")).applyInPandas(_compared, LINKS)
-        found.append(written(met, "links"))
-        # the heads are done with; the others are known by the groups that the links so far make
-        both = active.select(F.col("node").alias("a"), F.col("part").alias("b")).where("a <> b").union(found[-1])
-        named = components(both).select(F.col("node").alias("n"), F.col("label").alias("now"))
-        rest = active.join(large.select("l"), F.col("label") == F.col("l"), "left_semi").join(first, F.col("node") == F.col("n"), "left_anti")
-        active = written(rest.join(named, F.col("node") == F.col("n"), "left").select("label", "node", "set", F.coalesce("now", "part").alias("part")), "active")
-    links = found[0]
-    for part in found[1:]:
-        links = links.union(part)
-    return equal.union(components(links).where("node <> label").select("node")).distinct()
+    equal = written(marked.join(nodes.select(*one, "node"), one).where("id <> node").select("id"), "equal")
+    members = nodes.select("node", F.explode("bands").alias("key"))
+    buckets = _buckets(members)
+    pairs = members.join(buckets, "key").where("node <> first").select(F.col("node").alias("a"), F.col("first").alias("b"))
+    near = near_prints(nodes).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+    pairs = written(pairs.union(near).distinct(), "pairs")
+    asked = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+    sets = written(shingle_sets(rows.withColumnRenamed("id", "node").join(asked, "node").dropDuplicates(["node"])), "sets")
+    done = [marked, nodes, buckets, pairs, sets]
+    links = [written(verified(pairs, sets), "links")]
+    mixed = _mixed(members, buckets, components(links[0]))
+    links.append(_settled(mixed, sets))
+    done.append(mixed)
+    if not (hot := mixed.where(F.col("n") > SMALL)).isEmpty():
+        parts = written(components(links[0].union(links[1])), "parts")
+        own = rarest(sets.join(hot.select("node").distinct(), "node", "left_semi"))
+        again = _buckets(own)
+        named = lambda node, part: parts.select(F.col("node").alias(node), F.col("label").alias(part))
+        pairs = own.join(again, "key").where("node <> first").select(F.col("node").alias("a"), F.col("first").alias("b")).distinct()
+        pairs = pairs.join(named("a", "pa"), "a", "left").join(named("b", "pb"), "b", "left").where(F.coalesce("pa", "a") != F.coalesce("pb", "b")).select("a", "b")
+        links.append(written(verified(pairs, sets), "links"))
+        open_ = _mixed(own, again, components(links[0].union(links[1]).union(links[2])))
+        links.append(_settled(open_, sets))
+        links += _by_rounds(open_, sets)
+        done += [parts, own, again, open_]
+    every = links[0]
+    for part in links[1:]:
+        every = every.union(part)
+    out = written(equal.union(components(every).where("node <> label").select("node")).distinct().toDF("id"), "repeats")
+    removed(spark, *done, equal, *links)
+    return out
