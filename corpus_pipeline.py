@@ -23,22 +23,25 @@ ORACLE_SQL = None
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops the documents that the base rules or the perplexity bands reject."""
-    row = docs.select(*COLUMNS).withColumn("row", F.xxhash64("doc_id", "lang", "text"))
-    kept = perplexity.judged(row, id_col="row").where("kept").select(F.col("id").alias("row")).distinct()
-    return row.join(written(kept, "kept"), "row", "left_semi").select(*COLUMNS)
+    kept = perplexity.judged(docs.select(*COLUMNS), carry=REST).where("kept")
+    return kept.select(*[F.col(f"k_{c}").alias(c) for c in COLUMNS])
 
 
 def deduplicated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal and similar texts (five-word shingles, 0.8 or more) those with the smallest ids stay.
 
     SimHash fingerprints and multi-index hashing find the candidates.  A null
-    id is stood for by a large number from its text, so such rows stay only
-    where no like text has an id; repeated rows become one.
+    id, and an id that other texts have too, is stood for by a large number from
+    the row's text, so such rows stay only where no like text has an id of its
+    own; repeated rows become one.
     """
+    rows = docs.select(*COLUMNS)
+    texts = rows.groupBy("doc_id").agg(F.min(F.xxhash64("text")).alias("low"), F.max(F.xxhash64("text")).alias("high")).where("low < high")
+    unclear = written(texts.where("doc_id is not null").select("doc_id", F.lit(True).alias("unclear")), "unclear")
     stand_in = F.xxhash64("text").bitwiseAND(F.lit((1 << 61) - 1)).bitwiseOR(F.lit(1 << 61))
-    rows = docs.select(*COLUMNS).withColumn("row", F.coalesce("doc_id", stand_in))
-    gone = written(similar.repeats(rows.select(F.col("row").alias("id"), "text")).toDF("row"), "repeats")
-    one = F.row_number().over(Window.partitionBy("row").orderBy("text", "lang", "source"))
+    rows = rows.join(unclear, "doc_id", "left").withColumn("row", F.when(F.col("unclear"), stand_in).otherwise(F.coalesce("doc_id", stand_in)))
+    gone = similar.repeats(rows.select(F.col("row").alias("id"), "text")).toDF("row")
+    one = F.row_number().over(Window.partitionBy("row").orderBy("doc_id", "text", "lang", "source"))
     return rows.join(gone, "row", "left_anti").withColumn("one", one).where("one = 1").select(*COLUMNS)
 
 
