@@ -15,8 +15,12 @@ from pyspark.sql import functions as F
 from .shared import removed, written
 
 
-def _forest(batches):
-    """Keeps of each partition's edges a spanning forest: its parts stay as connected as before."""
+#: Edges that one task joins up before the first round.
+BLOCK = 200_000
+
+
+def _joined(batches):
+    """Of each partition's edges, the stars that they make: every node with the least node that they reach from it."""
     parent: dict[int, int] = {}
 
     def root(x: int) -> int:
@@ -28,13 +32,13 @@ def _forest(batches):
         return top
 
     for batch in batches:
-        keep = np.zeros(batch.num_rows, bool)
-        for i, (a, b) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())):
+        for a, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             a, b = root(a), root(b)
-            if a != b:
-                parent[max(a, b)] = min(a, b)
-                keep[i] = True
-        yield batch.filter(pa.array(keep))
+            parent[max(a, b)] = min(a, b)
+    tops = [(x, root(x)) for x in list(parent)]
+    tops = np.array([t for t in tops if t[0] != t[1]], np.int64).reshape(-1, 2)
+    for i in range(0, len(tops), 1 << 16):
+        yield pa.RecordBatch.from_arrays([pa.array(tops[i : i + (1 << 16), k]) for k in (0, 1)], ["a", "b"])
 
 
 def _stars(edges: DataFrame) -> bool:
@@ -52,7 +56,9 @@ def components(edges: DataFrame) -> DataFrame:
     spark = edges.sparkSession
     schema = "a long, b long"
     both = edges.where("a is not null and b is not null and a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    now = written(both.mapInArrow(_forest, schema).distinct(), "edges")
+    given = written(both, "given")
+    now = written(given.coalesce(1 + given.count() // BLOCK).mapInArrow(_joined, schema).distinct(), "edges")
+    removed(spark, given)
     while not _stars(now):
         sym = now.union(now.select(F.col("b"), F.col("a")).toDF("a", "b"))
         least = sym.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("u"), F.least("a", "m").alias("m"))

@@ -315,11 +315,11 @@ def repeats(rows: DataFrame) -> DataFrame:
     sets = written(shingle_sets(rows.withColumnRenamed("id", "node").join(asked, "node").dropDuplicates(["node"])), "sets")
     done = [marked, nodes, buckets, pairs, sets]
     links = [written(verified(pairs, sets), "links")]
-    mixed = _mixed(members, buckets, components(links[0]))
+    parts = written(components(links[0]), "parts")
+    mixed = _mixed(members, buckets, parts)
     links.append(_settled(mixed, sets))
-    done.append(mixed)
+    done += [parts, mixed]
     if not (hot := mixed.where(F.col("n") > SMALL)).isEmpty():
-        parts = written(components(links[0].union(links[1])), "parts")
         own = rarest(sets.join(hot.select("node").distinct(), "node", "left_semi"))
         again = _buckets(own)
         named = lambda node, part: parts.select(F.col("node").alias(node), F.col("label").alias(part))
@@ -329,7 +329,7 @@ def repeats(rows: DataFrame) -> DataFrame:
         open_ = _mixed(own, again, components(links[0].union(links[1]).union(links[2])))
         links.append(_settled(open_, sets))
         links += _by_rounds(open_, sets)
-        done += [parts, own, again, open_]
+        done += [own, again, open_]
     every = links[0]
     for part in links[1:]:
         every = every.union(part)
