@@ -3,13 +3,16 @@
 Source queues are served by deficit round-robin.  In each round a source may
 serve its share of ``window`` tokens; what it could not serve for want of a whole
 token is its deficit and is carried to the next round, so after w rounds source s
-has served floor(w * window * T_s / T) tokens exactly (T_s: its tokens, T: all).
+has served floor(w * window * T_s / T) tokens exactly (T_s: its weight, T: all).
 The rounds follow each other in one stream that is cut every ``window`` tokens:
 all sequences are full but the last, and each holds the target proportions to
 within one token a source and round.
 
-The served totals are closed forms of w, so any document finds its rounds from
-its place in its source's queue alone.  Places come from sums per (source, part
+Target proportions other than the sources' own shares are served in the same way
+until a queue runs dry; from then on the others share its part.
+
+The served totals are closed forms of w between two such ends, so any document
+finds its rounds from its place in its source's queue alone.  Places come from sums per (source, part
 of the token table); no queue is ever gathered, and deficits cross windows and
 partitions without a pass over either.
 
@@ -37,9 +40,8 @@ from .shared import removed, written
 
 WINDOW = 1024
 END_ID = 0
-CACHE_WORDS = 400_000
-#: Above this many sources, names are hashed to as many queues; each queue is then one source of the mixture.
-MAX_SOURCES = 4096
+#: Bytes of words that a worker keeps with their ids.
+CACHE_BYTES = 8 << 20
 WIDTH = np.uint32
 
 
@@ -56,6 +58,9 @@ class ByteBpe:
 
         with open(path, encoding="utf-8") as f:
             data = json.load(f)
+        plain = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True}
+        if data["model"]["type"] != "BPE" or data.get("normalizer") or data.get("pre_tokenizer") != plain or data["model"].get("ignore_merges"):
+            raise ValueError(f"{path} is no plain byte-level BPE")
         back = {c: b for b, c in enumerate(byte_letters())}
         self.special = {t["content"]: t["id"] for t in data.get("added_tokens") or []}
         ranks = {bytes(back[c] for c in t): i for t, i in data["model"]["vocab"].items() if t not in self.special}
@@ -64,13 +69,16 @@ class ByteBpe:
         self.library.no_padding()
         self.library.no_truncation()
         self.words: dict[bytes, np.ndarray] = {}
+        self.held = 0
 
     def word(self, raw: bytes) -> np.ndarray:
         found = self.words.get(raw)
         if found is None:
-            if len(self.words) >= CACHE_WORDS:
+            if self.held > CACHE_BYTES:
                 self.words.clear()
+                self.held = 0
             found = self.words[raw] = np.array(self.core._encode_single_piece(raw), WIDTH)
+            self.held += len(raw)
         return found
 
     def texts(self, buf: np.ndarray, offs: np.ndarray):
@@ -137,48 +145,72 @@ def tokenised(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str
 
 
 class Schedule:
-    """What deficit round-robin has served after any round, exactly."""
+    """What deficit round-robin has served after any round, exactly.
+
+    ``weights``: what the sources' shares of a round stand in proportion to, as
+    integers; without them, their tokens.  When a queue runs dry, its share goes
+    to the others in their proportions; sources of weight zero are served after
+    all others, in proportion to their tokens.
+    """
 
-    def __init__(self, totals: list[int], window: int = WINDOW):
+    def __init__(self, totals: list[int], window: int = WINDOW, weights: list[int] | None = None):
         self.totals, self.all, self.window = np.array(totals, np.int64), int(sum(totals)), window
+        weights = list(weights or totals)
+        rest, begin = list(map(int, totals)), 0
+        phases = []  # the round-robin's clock at its begin, the sum of weights, and each source's weight, tokens served before and tokens left
+        while any(rest):
+            own = [w if n else 0 for w, n in zip(weights, rest)]
+            own = own if any(own) else list(rest)
+            every = sum(own)
+            phases.append((begin, every, own, [t - n for t, n in zip(totals, rest)], list(rest)))
+            span = min(-(-n * every // w) for n, w in zip(rest, own) if w)
+            rest = [n - min(n, span * w // every) for n, w in zip(rest, own)]
+            begin += span
+        self.end = begin
+        columns = list(zip(*phases)) if phases else [[], [], [], [], []]
+        self.begin, self.every = np.array(columns[0], np.int64), np.array(columns[1], np.int64)
+        self.own, self.before, self.left = (np.array(c, np.int64).reshape(len(phases), len(totals)) for c in columns[2:])
 
     def served(self, s: int, rounds: np.ndarray) -> np.ndarray:
-        """floor(min(rounds * window, T) * T_s / T), by a float guess and its exact remainder modulo 2**64."""
-        m = np.minimum(rounds * self.window, self.all)
-        t = int(self.totals[s])
-        guess = np.floor(m * (t / self.all)).astype(np.int64)
+        """Tokens of the source after so many rounds: a floor of a quotient, by a float guess and its exact remainder modulo 2**64."""
+        m = np.minimum(rounds * self.window, self.end)
+        k = np.searchsorted(self.begin, m, "right") - 1
+        m = m - self.begin[k]
+        w, every = self.own[k, s], self.every[k]
+        guess = np.floor(m * (w / every)).astype(np.int64)
         with np.errstate(over="ignore"):
-            rest = (m.astype(np.uint64) * np.uint64(t) - guess.astype(np.uint64) * np.uint64(self.all)).view(np.int64)
-        return guess + rest // self.all
+            rest = (m.astype(np.uint64) * w.astype(np.uint64) - guess.astype(np.uint64) * every.astype(np.uint64)).view(np.int64)
+        return self.before[k, s] + np.minimum(self.left[k, s], guess + rest // every)
 
     def round_of(self, s: int, place: np.ndarray) -> np.ndarray:
-        """The round that serves the source's token of that place."""
-        w = np.ceil((place + 1) * (self.all / (int(self.totals[s]) * self.window))).astype(np.int64) - 1
-        while (high := self.served(s, w) > place).any():
-            w = w - high
-        while (low := self.served(s, w + 1) <= place).any():
-            w = w + low
-        return w
+        """The round that serves the source's token of that place, by bisection."""
+        low, high = np.zeros(len(place), np.int64), np.full(len(place), -(-self.end // self.window))
+        while (high - low > 1).any():
+            middle = (low + high) // 2
+            below = self.served(s, middle) <= place
+            low, high = np.where(below, middle, low), np.where(below, high, middle)
+        return low
 
     def stream(self, s: int, place: np.ndarray, rounds: np.ndarray) -> np.ndarray:
         """Place in the stream of the source's token, given its round."""
-        at = place - self.served(s, rounds)
+        some, at = np.unique(rounds, return_inverse=True)
+        before = np.zeros(len(some), np.int64)
         for j in range(len(self.totals)):
-            at = at + (self.served(j, rounds + 1) if j < s else self.served(j, rounds))
-        return at
+            before += self.served(j, some + 1) if j < s else self.served(j, some)
+        return place - self.served(s, some)[at] + before[at]
 
     def pieces(self, s: int, place: np.ndarray, n: np.ndarray):
         """(document index, start, length, stream place) of the documents' pieces, cut at rounds and at windows."""
-        if self.totals[s] * self.window >= self.all:
-            first, last = self.round_of(s, place), self.round_of(s, place + n - 1)
-            count = last - first + 1
+        first, last = self.round_of(s, place), self.round_of(s, place + n - 1)
+        count = last - first + 1
+        if count.sum() <= 2 * n.sum():
             doc = np.repeat(np.arange(len(place)), count)
             rounds = K.ragged(first, count)
             begin = np.maximum(self.served(s, rounds), place[doc])
             end = np.minimum(self.served(s, rounds + 1), (place + n)[doc])
             some = end > begin
             doc, rounds, begin, end = doc[some], rounds[some], begin[some], end[some]
-        else:  # less than a token a round: look at tokens, not rounds
+        else:  # less than a token in most rounds: look at tokens, not rounds
             doc = np.repeat(np.arange(len(place)), n)
             begin = K.ragged(place, n)
             end = begin + 1
@@ -201,21 +233,33 @@ class Schedule:
         return doc, start, length, lo
 
 
-def packed(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", window: int = WINDOW, with_ids: bool = False) -> DataFrame:
+def _weights(names: list[str], proportions: dict[str, float] | None) -> list[int] | None:
+    if not proportions:
+        return None
+    if min(proportions.values()) < 0:
+        raise ValueError("a proportion is negative")
+    most = max(proportions.values())
+    return [round(proportions.get(s, 0) / most * 1_000_000) if most else 0 for s in names]
+
+
+def packed(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", window: int = WINDOW, with_ids: bool = False, proportions: dict[str, float] | None = None) -> DataFrame:
     """One row per piece: id, start, length, ids_crc32, doc_tokens, sequence_id, offset, source (and the piece's ids).
 
+    ``proportions``: the target share of each source in every window, to a
+    millionth of the largest, as long as all queues last; without it, the
+    sources' own shares of all tokens.  Sources that it leaves out come last.
+
     Every row is packed, null ids and repeated rows too; a null text is empty
-    and has the end id alone; a null source is the source ''.  An empty table
+    and has the end id alone; a null source is the source ''.  The sources'
+    totals, one number each, are held by the driver and sent to every task.  An empty table
     gives no piece.
     """
     spark = docs.sparkSession
-    if docs.select(F.col(source_col)).distinct().limit(MAX_SOURCES + 1).count() > MAX_SOURCES:
-        docs = docs.withColumn(source_col, F.pmod(F.xxhash64(source_col), F.lit(MAX_SOURCES)).cast("string"))
     table = written(tokenised(docs, path, id_col, text_col, source_col), "tokens")
     sums = written(table.groupBy("source", "part").agg(F.sum("n").alias("tokens")), "token-sums")
     totals = {r["source"]: r["t"] for r in sums.groupBy("source").agg(F.sum("tokens").alias("t")).collect()}
     names = sorted(totals)
-    schedule = Schedule([totals[s] for s in names], window)
+    schedule = Schedule([totals[s] for s in names], window, _weights(names, proportions))
     index = {s: i for i, s in enumerate(names)}
     before = Window.partitionBy("source").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     base = written(sums.select("source", "part", F.coalesce(F.sum("tokens").over(before), F.lit(0)).alias("base")), "token-bases")

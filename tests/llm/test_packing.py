@@ -69,3 +69,63 @@ def test_pieces_tile_documents_and_windows(spark):
                 assert abs(own[name] - 1024 * n / total) <= 2 + len(share)
     assert sorted(by_sequence) == list(range(-(-total // 1024)))
     assert packing.packed(frame.where("doc_id < 0"), PATH).count() == 0
+
+
+def simulated(totals, weights, window):
+    """Tokens of each source in every window, by a plain deficit round-robin."""
+    from fractions import Fraction
+
+    rest, deficit, stream = list(totals), [Fraction(0)] * len(totals), []
+    while any(rest):
+        budget = Fraction(window)
+        got = [0] * len(rest)
+        while budget and any(rest[i] - got[i] for i in range(len(rest))):
+            live = [i for i in range(len(rest)) if rest[i] - got[i]]
+            own = {i: weights[i] for i in live} if any(weights[i] for i in live) else {i: totals[i] for i in live}
+            every = sum(own.values())
+            # until the first queue runs dry
+            span = min([budget] + [(rest[i] - got[i] - deficit[i]) * every / Fraction(own[i]) for i in live if own[i]])
+            span = max(span, Fraction(0))
+            span = min(budget, Fraction(-(-span.numerator // span.denominator)))
+            for i in live:
+                deficit[i] += span * own[i] / every
+                n = min(rest[i] - got[i], deficit[i].numerator // deficit[i].denominator)
+                got[i] += n
+                deficit[i] -= n
+            budget -= span
+            if any(rest[i] == got[i] for i in live):
+                deficit = [Fraction(0)] * len(totals)
+        for i, n in enumerate(got):
+            stream += [i] * n
+            rest[i] -= n
+    return stream
+
+
+def test_target_proportions_and_dry_queues():
+    for totals, weights in (([500, 300, 700], [5, 3, 2]), ([40, 2000, 11], [1, 1, 0]), ([7, 9, 1000], [999, 1, 1]), ([100, 200, 300], None)):
+        plan = packing.Schedule(totals, 64, weights)
+        want = simulated(totals, weights or totals, 64)
+        got = [None] * sum(totals)
+        for s, t in enumerate(totals):
+            n = np.array([t // 3, 1, t - t // 3 - 1])
+            place = np.cumsum(n) - n
+            for d, start, length, at in zip(*plan.pieces(s, place, n)):
+                assert at // 64 == (at + length - 1) // 64
+                for x in range(length):
+                    assert got[at + x] is None
+                    got[at + x] = s
+        for w in range(-(-len(want) // 64)):
+            assert Counter(got[64 * w : 64 * w + 64]) == Counter(want[64 * w : 64 * w + 64]), (totals, weights, w)
+
+
+def test_many_sources_and_proportions(spark):
+    frame = docs(spark, [f"word {i} " * 30 for i in range(300)]).selectExpr("doc_id", "text", "concat('s', doc_id) source")
+    rows = packing.packed(frame.unionAll(frame.selectExpr("null", "text", "source").limit(3)), PATH).collect()
+    assert {r["source"] for r in rows} == {f"s{i}" for i in range(300)} and sum(r["id"] is None for r in rows) > 0
+    total = sum(r["length"] for r in rows)
+    assert sorted({r["sequence_id"] for r in rows}) == list(range(-(-total // 1024)))
+    two = frame.selectExpr("doc_id", "text", "if(doc_id % 3 = 0, 'a', 'b') source")
+    share = Counter()
+    for r in packing.packed(two, PATH, proportions={"a": 0.5, "b": 0.5}).where("sequence_id < 8").collect():
+        share[r["source"]] += r["length"]
+    assert abs(share["a"] - share["b"]) <= 2
