@@ -3,8 +3,10 @@
 ``write_arc`` and ``write_warc`` lay records down with Spark's text writer: a
 row is a record, the line separator is the format's own separator, so the files
 are archives in the shared folder, written again from their inputs if a task is
-lost.  Files hold at most ``FILE_RECORDS`` records, which bounds what a reader
-holds at once.  Readers follow the declared lengths byte by byte.
+lost.  Pages are written apart by their size, and files of pages of at most
+``PAGE_BYTES << c`` bytes hold at most ``FILE_RECORDS >> c`` records, so a file has
+some 64 MB before compression, or one record: that is what a reader holds at
+once.  Readers follow the declared lengths byte by byte.
 """
 
 from __future__ import annotations
@@ -18,9 +20,10 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import fresh, written
+from .shared import bounded, fresh, written
 
-FILE_RECORDS = 4000
+FILE_RECORDS, PAGE_BYTES = 4096, 16 << 10
+HELD_BYTES = 4 << 20
 REVISIT_BYTES = 100
 ARCHIVED = "20240101000000"
 # The fields of an ARC record's header line, by version.
@@ -38,6 +41,18 @@ def _head(version: int, name: str, offset: int = 0) -> str:
     return f"filedesc://{name} 0.0.0.0 {ARCHIVED} text/plain{tail} {len(body.encode())}\n{body}"
 
 
+def _sized(rows: DataFrame, size) -> list[tuple[DataFrame, int]]:
+    """The rows by size class, and how many of them a file holds; of no rows, one class."""
+    grade = F.when(size <= PAGE_BYTES, F.lit(0)).otherwise(F.ceil(F.log2(size / PAGE_BYTES))).cast("int")
+    grade = F.coalesce(grade, F.lit(0))
+    grades = [c for (c,) in sorted(rows.select(grade).distinct().collect())]
+    return [(rows.where(grade == c) if len(grades) > 1 else rows, max(1, FILE_RECORDS >> c)) for c in grades or [0]]
+
+
+def _laid(rows: DataFrame, folder: str, separator: str, most: int) -> None:
+    rows.write.mode("append").option("lineSep", separator).option("maxRecordsPerFile", most).option("compression", "gzip").text(folder)
+
+
 def _http(page: int | None, size: int) -> str:
     return f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nX-Page-Id: {'-' if page is None else page}\r\nContent-Length: {size}\r\n\r\n"
 
@@ -45,13 +60,14 @@ def _http(page: int | None, size: int) -> str:
 def write_arc(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> str:
     """Writes ARC files, version 1 and 2 by turns, one record per row; their folder."""
 
-    def run(batches):
+    def run(batches, most):
         part = TaskContext.get().partitionId()
         version, name, seen = 1 + part % 2, f"part-{part:06d}.arc", 0
         for batch in batches:
-            out = []
-            for page, url, html in zip(*(c.to_pylist() for c in batch.columns)):
-                if seen % FILE_RECORDS == 0:
+            out, held = [], 0
+            for page, url, html in zip(*batch.columns):
+                page, url, html = page.as_py(), url.as_py(), html.as_py()
+                if seen % most == 0:
                     out.append(_head(version, name))
                     seen += 1
                 raw = (html or "").encode()
@@ -60,11 +76,17 @@ def write_arc(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
                 extra = f" 200 {hashlib.md5(raw).hexdigest()} - {seen} {name}" if version == 2 else ""
                 out.append(f"{url} 0.0.0.0 {ARCHIVED} text/html{extra} {len(doc.encode())}\n{doc}")
                 seen += 1
+                held += len(raw)
+                if held > HELD_BYTES:
+                    yield pa.RecordBatch.from_arrays([pa.array(out, pa.string())], ["value"])
+                    out, held = [], 0
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.string())], ["value"])
 
+    bounded(pages.sparkSession)
     folder = fresh(pages.sparkSession, "arc")
-    rows = pages.select(F.col(id_col).cast("long"), F.col(url_col).cast("string"), F.col(html_col).cast("string")).mapInArrow(run, "value string")
-    rows.write.option("lineSep", "\n").option("maxRecordsPerFile", FILE_RECORDS).option("compression", "gzip").text(folder)
+    pages = pages.select(F.col(id_col).cast("long").alias("page"), F.col(url_col).cast("string").alias("url"), F.col(html_col).cast("string").alias("html"))
+    for rows, most in _sized(pages, F.octet_length("html")):
+        _laid(rows.mapInArrow(lambda b, most=most + 1: run(b, most), "value string"), folder, "\n", most + 1)
     return folder
 
 
@@ -112,7 +134,7 @@ def convert_arc(spark, folder: str) -> DataFrame:
                     for o, v in zip(out, row):
                         o.append(v)
                     held += len(payload)
-                    if held > 4 << 20:
+                    if held > HELD_BYTES:
                         yield _rows(out)
                         out, held = [[] for _ in range(8)], 0
                 yield _rows(out)
@@ -126,6 +148,11 @@ def _rows(out):
     return pa.RecordBatch.from_arrays([pa.array(o, t) for o, t in zip(out, types)], ["page_id", "uri", "date", "record_id", "http", "payload", "bytes", "digest"])
 
 
+def _read_rows(out):
+    types = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string()]
+    return pa.RecordBatch.from_arrays([pa.array(o, t) for o, t in zip(out, types)], ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "payload"])
+
+
 def write_warc(records: DataFrame) -> str:
     """Writes WARC files: of equal payloads of ``REVISIT_BYTES`` or more, the smallest page is a response, the others revisit it."""
     order = F.coalesce("page_id", F.lit(2**63 - 1))
@@ -149,8 +176,8 @@ def write_warc(records: DataFrame) -> str:
         F.concat(F.lit("Content-Length: "), F.octet_length(block).cast("string")),
     ]
     folder = fresh(records.sparkSession, "warc")
-    rows = joined.select(F.concat(F.concat_ws("\r\n", *lines), F.lit("\r\n\r\n"), block).alias("value"))
-    rows.write.option("lineSep", "\r\n\r\n").option("maxRecordsPerFile", FILE_RECORDS).option("compression", "gzip").text(folder)
+    for rows, most in _sized(joined, F.col("bytes")):
+        _laid(rows.select(F.concat(F.concat_ws("\r\n", *lines), F.lit("\r\n\r\n"), block).alias("value")), folder, "\r\n\r\n", most)
     return folder
 
 
@@ -176,6 +203,7 @@ def read_warc(spark, folder: str) -> DataFrame:
         for batch in batches:
             for content in batch.column(0):
                 out: list[list] = [[] for _ in range(6)]
+                held = 0
                 for headers, block in warc_records(_opened(content.as_py())):
                     http, _, payload = block.partition(b"\r\n\r\n")
                     fields = dict(x.split(": ", 1) for x in http.decode().split("\r\n")[1:])
@@ -190,8 +218,11 @@ def read_warc(spark, folder: str) -> DataFrame:
                     row = (None if page == "-" else int(page), int(fields["Content-Length"]), digest, kind, refers and int(refers), payload.decode() if kind == "response" else None)
                     for o, v in zip(out, row):
                         o.append(v)
-                types = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string()]
-                yield pa.RecordBatch.from_arrays([pa.array(o, t) for o, t in zip(out, types)], ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "payload"])
+                    held += len(block)
+                    if held > HELD_BYTES:
+                        yield _read_rows(out)
+                        out, held = [[] for _ in range(6)], 0
+                yield _read_rows(out)
 
     schema = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, payload string"
     return spark.read.format("binaryFile").load(folder).select("content").mapInArrow(run, schema)

@@ -21,10 +21,13 @@ def brute(rows):
 
 
 def test_round_trip(spark, monkeypatch):
-    monkeypatch.setattr(warc, "FILE_RECORDS", 7)
+    monkeypatch.setattr(warc, "FILE_RECORDS", 8)
+    monkeypatch.setattr(warc, "PAGE_BYTES", 300)
+    monkeypatch.setattr(warc, "HELD_BYTES", 4000)
     odd = "<p>\r\n\r\nWARC/1.1\r\n\nfiledesc://x 1 2\n é😀</p>" * 5
     rows = [(0, None, None), (1, "http://a b\n/c", ""), (2, "u", odd), (3, "u", odd), (4, "v", "short"), (5, "v", "short"), (6, "w", "x" * 99), (7, "w", "x" * 99), (9, "w", "y" * 100), (8, "w", "y" * 100)]
     rows += [(10 + i, f"http://h/{i}", "copy " * 40 if i % 3 else f"page {i} " * 30) for i in range(60)]
+    rows += [(100, "long", "z" * 3_000_000), (101, "long", "z" * 3_000_000), (102, "longer", "é" * 4_000_000)]
     frame = spark.createDataFrame(rows, SCHEMA).selectExpr("*", "1 as bytes", "'x' as digest").repartition(3)
     got = warc.converted(frame).collect()
     assert sorted(tuple(r)[:5] for r in got) == brute(rows)
