@@ -154,6 +154,8 @@ class Automaton:
                 ends.append(to)
                 break
             else:
+                if not out:
+                    raise ValueError(f"no token begins {symbols[0]!r}")
                 dead.add(at)
                 out.pop()
                 ends.pop()

@@ -2,8 +2,8 @@
 
 A slice of texts is normalised, cut into words by character class, and its
 distinct words are encoded by the automaton; a text's ids and labels are its
-words' ids and labels in order.  The per-process word cache is cleared when it
-holds ``CACHE_WORDS`` words, so memory is bounded and no word is left out.
+words' ids and labels in order.  The per-process word cache is cleared when its
+words have ``CACHE_BYTES`` bytes, so memory is bounded and no word is left out.
 """
 
 from __future__ import annotations
@@ -23,23 +23,42 @@ from . import kernel as K
 from .automaton import Automaton
 from .presplit import bare_words
 
-CACHE_WORDS = 400_000
-# Fixed value: the word pattern of the tokenizer file, for texts that hold special tokens.
+#: Bytes of words that a worker keeps with their ids.
+CACHE_BYTES = 8 << 20
+# The word pattern, the normaliser and the pre-tokenizer of the tokenizer files that are coded here.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+NORMALIZERS = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]
+PRETOKENIZERS = [
+    {"type": "Split", "pattern": {"Regex": PATTERN}, "behavior": "Removed", "invert": True},
+    {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+]
+
+
+def checked(path: str) -> dict:
+    """The tokenizer file, or an error if it asks for what is not coded here."""
+    with open(path, encoding="utf-8") as f:
+        data = json.load(f)
+    model = data["model"]
+    plain = not any(model.get(k) for k in ("dropout", "unk_token", "continuing_subword_prefix", "byte_fallback", "ignore_merges"))
+    steps = (data.get("normalizer") or {}).get("normalizers"), (data.get("pre_tokenizer") or {}).get("pretokenizers")
+    added = all(not t[k] for t in data.get("added_tokens") or [] for k in ("single_word", "lstrip", "rstrip", "normalized"))
+    if model["type"] != "BPE" or not plain or not added or steps != (NORMALIZERS, PRETOKENIZERS) or data.get("decoder"):
+        raise ValueError(f"{path}: only BPE with the normaliser {NORMALIZERS} and the pre-tokenizer {PRETOKENIZERS} is coded")
+    return data
 
 
 class Coder:
-    """Encodes and decodes texts by one tokenizer file (a path is a parameter of the operator)."""
+    """Encodes and decodes texts by one tokenizer file (a path is a parameter of the operator); another kind of file is refused."""
 
     def __init__(self, path: str):
+        added = checked(path).get("added_tokens") or []
         self.automaton = Automaton.load(path)
-        with open(path, encoding="utf-8") as f:
-            added = json.load(f).get("added_tokens") or []
         self.special = {t["content"]: t["id"] for t in added}
         self.automaton.labels.update({i: t for t, i in self.special.items()})
         self.split = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")") if self.special else None
         self.pattern = regex.compile(PATTERN)
         self.words: dict[bytes, tuple[str, str, int]] = {}
+        self.held = 0
 
     @staticmethod
     def normalised(text: str) -> str:
@@ -52,8 +71,10 @@ class Coder:
         """A word's ids and labels, space-joined, and their number."""
         found = self.words.get(raw)
         if found is None:
-            if len(self.words) >= CACHE_WORDS:
+            if self.held > CACHE_BYTES:
                 self.words.clear()
+                self.held = 0
+            self.held += len(raw)
             ids = self.automaton.encode(raw)
             found = self.words[raw] = " ".join(map(str, ids)), self.automaton.decode(ids), len(ids)
         return found
@@ -77,7 +98,7 @@ class Coder:
         out: list = [None] * len(texts)
         plain = []
         for i, t in enumerate(texts):
-            if self.split is not None and "<|" in t and self.split.search(t):
+            if any(x in t for x in self.special):
                 ids, labels, n = self.mixed(t)
                 out[i] = " ".join(ids), " ".join(labels), n
             else:

@@ -47,3 +47,26 @@ def test_query_rows(spark):
     full = {r["id"]: r for r in bpe.encoded(frame, PATH).collect()}
     assert full[2]["ids"] == Tokenizer.from_file(PATH).encode("Hello THERE", add_special_tokens=False).ids
     assert bpe.digests(frame.where("doc_id > 7"), PATH).count() == 0
+
+
+def test_another_kind_of_file_is_refused(tmp_path):
+    import json
+
+    import pytest
+
+    with open(PATH, encoding="utf-8") as f:
+        data = json.load(f)
+    for key, value in (("normalizer", None), ("decoder", {"type": "ByteLevel"})):
+        path = tmp_path / "t.json"
+        path.write_text(json.dumps(data | {key: value}))
+        with pytest.raises(ValueError):
+            bpe.Coder(str(path))
+    with pytest.raises(ValueError):
+        bpe.Coder(public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def test_very_long_text_through_the_query(spark):
+    text = "long words and numbers 12345 " * 40_000
+    e = Tokenizer.from_file(PATH).encode(text, add_special_tokens=False).ids
+    row = bpe.digests(docs(spark, [text]), PATH).first()
+    assert row["n_tokens"] == len(e) and row["ids_sha256"] == hashlib.sha256(" ".join(map(str, e)).encode()).hexdigest()
