@@ -14,7 +14,8 @@ Two texts are linked if the exact Jaccard similarity of their sets of
 ``SHINGLE``-word shingles is at least ``SIMILAR``; a group is what links reach, and
 its least id stays.  Links are sought bucket by bucket (texts that share a key):
 
-1. every text is compared with the least of each of its buckets;
+1. every text is compared with the least of each of its buckets, first with
+   that of the most buckets, then with those that it is not yet grouped with;
 2. buckets whose texts then are still in several groups, of at most ``SMALL``
    texts, compare across those groups in one task;
 3. the texts of larger ones (a passage that many share) are dealt out again by
@@ -48,6 +49,8 @@ SMALL, HEADS, BLOCK = 200, 250, 250
 SEEDS = (0x243F6A8885A308D3, 0x13198A2E03707344)
 BOUNDS = [64 * i // SEGMENTS for i in range(SEGMENTS + 1)]
 PAIRS = 1 << 19
+#: Ids that are broadcast at most (16 MB); more are joined by an exchange.
+MOST_SENT = 1_000_000
 MULTIPLIERS, OFFSETS = np.random.default_rng(20240502).integers(0, 1 << 64, (2, BANDS * ROWS), dtype=np.uint64) | np.array([[1], [0]], np.uint64)
 
 
@@ -174,42 +177,40 @@ def near_prints(nodes: DataFrame) -> DataFrame:
 LINKS = "a long, b long"
 
 
-def shingle_sets(rows: DataFrame) -> DataFrame:
-    """(node, set): the sorted hashes of each (node, text)'s shingles, as bytes."""
-
-    def run(batches):
-        for batch in batches:
-            for a, b, buf, offs in K.slices(batch.column(1)):
-                h, cut = shingle_hashes(buf, offs, SHINGLE)
-                sets = [np.unique(h[x:y]).tobytes() for x, y in zip(cut[:-1].tolist(), cut[1:].tolist())]
-                yield pa.RecordBatch.from_arrays([batch.column(0)[a:b], pa.array(sets, pa.binary())], ["node", "set"])
-
-    return rows.select("node", "text").mapInArrow(run, "node long, set binary")
+def shingle_set(text: str) -> np.ndarray:
+    """The sorted hashes of a text's shingles."""
+    raw = np.frombuffer(text.encode(), np.uint8)
+    return np.unique(shingle_hashes(raw, np.array([0, len(raw)]), SHINGLE)[0])
 
 
-def alike(x: bytes, y: bytes) -> bool:
+def alike(a: np.ndarray, b: np.ndarray) -> bool:
     """Whether two shingle sets are similar; two empty ones are."""
-    a, b = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
     if min(len(a), len(b)) < SIMILAR * max(len(a), len(b)):
         return False
     both = len(np.intersect1d(a, b, assume_unique=True))
     return both >= SIMILAR * (len(a) + len(b) - both)
 
 
-def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Of the pairs (a, b), those that are alike."""
+def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """Of the pairs (a, b), those that are alike; texts travel, as they are smaller than their sets."""
 
     def run(batches):
+        last = None, None
         for batch in batches:
-            yield batch.filter(pa.array([alike(x.as_py(), y.as_py()) for x, y in zip(batch.column(2), batch.column(3))], pa.bool_())).select(["a", "b"])
-
-    both = pairs.join(sets.toDF("a", "x"), "a").join(sets.toDF("b", "y"), "b")
+            keep = []
+            for b, x, y in zip(batch.column(1).to_pylist(), batch.column(2), batch.column(3)):
+                if last[0] != b:  # sorted by b, which many may share
+                    last = b, shingle_set(y.as_py())
+                keep.append(alike(shingle_set(x.as_py()), last[1]))
+            yield batch.filter(pa.array(keep, pa.bool_())).select(["a", "b"])
+
+    both = pairs.join(texts.toDF("a", "x"), "a").join(texts.toDF("b", "y"), "b")
     return both.select("a", "b", "x", "y").mapInArrow(run, LINKS)
 
 
 def _grouped(group: pd.DataFrame) -> pd.DataFrame:
     """Links (a, b) that connect the alike texts of a few, which are in several parts already."""
-    nodes, parts, sets = group["node"].tolist(), group["part"].tolist(), group["set"].tolist()
+    nodes, parts, sets = group["node"].tolist(), group["part"].tolist(), [shingle_set(t) for t in group["text"]]
     out = []
     for i in range(1, len(nodes)):
         for j in range(i):
@@ -223,9 +224,10 @@ def _grouped(group: pd.DataFrame) -> pd.DataFrame:
 def _compared(members: pd.DataFrame, heads: pd.DataFrame) -> pd.DataFrame:
     """Links (a, b) of a block of members with the heads they are like, one for each part of the heads."""
     a, b = [], []
-    for node, part, own in zip(members["node"], members["part"], members["set"]):
+    known = [*zip(heads["head"], heads["of"], map(shingle_set, heads["other"]))]
+    for node, part, own in zip(members["node"], members["part"], map(shingle_set, members["text"])):
         met = {part}
-        for head, of, other in zip(heads["head"], heads["of"], heads["other"]):
+        for head, of, other in known:
             if of not in met and head != node and alike(own, other):
                 met.add(of)
                 a.append(node)
@@ -238,6 +240,13 @@ def _buckets(members: DataFrame) -> DataFrame:
     return written(members.groupBy("key").agg(F.min("node").alias("first"), F.count("*").alias("n")).where("n > 1"), "buckets")
 
 
+def _across(pairs: DataFrame, parts: DataFrame) -> DataFrame:
+    """The different pairs (a, b) of two parts."""
+    part = lambda side: parts.select(F.col("node").alias(side), F.col("label").alias(f"part_{side}"))
+    both = pairs.distinct().join(part("a"), "a", "left").join(part("b"), "b", "left")
+    return both.where(F.coalesce("part_a", "a") != F.coalesce("part_b", "b")).select("a", "b")
+
+
 def _mixed(members: DataFrame, buckets: DataFrame, parts: DataFrame) -> DataFrame:
     """(key, n, node, part) of the buckets of three or more texts that are in several parts; written."""
     own = members.join(buckets.where("n > 2").select("key", "n"), "key").join(parts, "node", "left").select("key", "n", "node", F.coalesce("label", "node").alias("part"))
@@ -245,42 +254,43 @@ def _mixed(members: DataFrame, buckets: DataFrame, parts: DataFrame) -> DataFram
     return written(own.join(open_, "key"), "mixed")
 
 
-def _settled(mixed: DataFrame, sets: DataFrame) -> DataFrame:
+def _settled(mixed: DataFrame, texts: DataFrame) -> DataFrame:
     """The links between the parts of small buckets; written."""
-    few = mixed.where(F.col("n") <= SMALL).join(sets, "node").select("key", "node", "part", "set")
+    few = mixed.where(F.col("n") <= SMALL).join(texts, "node").select("key", "node", "part", "text")
     return written(few.groupBy("key").applyInPandas(_grouped, LINKS), "links")
 
 
-def rarest(sets: DataFrame) -> DataFrame:
-    """(key, node): the rarest shingles of each set, one more than it can do without and still be similar; those of one set only left out."""
+def rarest(texts: DataFrame) -> DataFrame:
+    """(key, node): the rarest shingles of each text, one more than it can do without and still be similar; those of one text only left out."""
 
     def run(batches):
         for batch in batches:
-            size = pc.binary_length(batch.column(1)).to_numpy(zero_copy_only=False) // 8
-            flat = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.int64)
-            for x in range(0, len(flat), 1 << 18):
-                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(batch.column(0).to_numpy(), size)[x : x + (1 << 18)]), pa.array(flat[x : x + (1 << 18)])], ["node", "key"])
+            for a, b, buf, offs in K.slices(batch.column(1)):
+                h, cut = shingle_hashes(buf, offs, SHINGLE)
+                for node, x, y in zip(batch.column(0)[a:b].to_pylist(), cut[:-1].tolist(), cut[1:].tolist()):
+                    own = np.unique(h[x:y])
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(own), node, np.int64)), pa.array(K.signed(own))], ["node", "key"])
 
-    tokens = written(sets.mapInArrow(run, "node long, key long"), "tokens")
+    tokens = written(texts.mapInArrow(run, "node long, key long"), "tokens")
     often = tokens.groupBy("key").agg(F.count("*").alias("often"))
     own = tokens.join(often, "key").groupBy("node").agg(F.sort_array(F.collect_list(F.struct("often", "key"))).alias("all"))
     n = F.size("all")
     spare = n - F.ceil(n * F.lit(SIMILAR) - 1e-9).cast("int") + 1
     out = written(own.select("node", F.inline(F.slice("all", 1, spare))).where("often > 1").select("key", "node"), "rarest")
-    removed(sets.sparkSession, tokens)
+    removed(texts.sparkSession, tokens)
     return out
 
 
-def _by_rounds(mixed: DataFrame, sets: DataFrame) -> list[DataFrame]:
+def _by_rounds(mixed: DataFrame, texts: DataFrame) -> list[DataFrame]:
     """Links between the parts of large buckets, ``HEADS`` texts a round against all; heads come from outside the largest part."""
-    spark, found, same = sets.sparkSession, [], ["key", "node"]
+    spark, found, same = texts.sparkSession, [], ["key", "node"]
     active = written(mixed.where(F.col("n") > SMALL).select(*same, "part"), "active")
     while True:
         parts = active.groupBy("key", "part").agg(F.count("*").alias("n"))
         sizes = parts.groupBy("key").agg(F.sum("n").alias("n"), F.count("*").alias("parts"), F.max_by("part", F.struct("n", -F.col("part"))).alias("most"))
         open_ = written(sizes.where("parts > 1").drop("parts"), "open")
         within = active.join(open_, "key")
-        found.append(_settled(within.select("key", "n", "node", "part"), sets))
+        found.append(_settled(within.select("key", "n", "node", "part"), texts))
         large = open_.where(F.col("n") > SMALL).withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int"))
         if large.isEmpty():
             removed(spark, active, open_)
@@ -288,8 +298,8 @@ def _by_rounds(mixed: DataFrame, sets: DataFrame) -> list[DataFrame]:
         within = active.join(large, "key")
         rank = F.row_number().over(Window.partitionBy("key").orderBy("node"))
         heads = written(within.where("part <> most").withColumn("r", rank).where(F.col("r") <= HEADS).select(*same, "part", "blocks"), "heads")
-        spread = heads.join(sets, "node").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(F.col("key").alias("k"), "block", F.col("node").alias("head"), F.col("part").alias("of"), F.col("set").alias("other"))
-        blocks = within.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")).join(sets, "node").select("key", "block", "node", "part", "set")
+        spread = heads.join(texts, "node").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(F.col("key").alias("k"), "block", F.col("node").alias("head"), F.col("part").alias("of"), F.col("text").alias("other"))
+        blocks = within.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")).join(texts, "node").select("key", "block", "node", "part", "text")
         found.append(written(blocks.groupBy("key", "block").cogroup(spread.groupBy("k", "block")).applyInPandas(_compared, LINKS), "links"))
         # the heads are done with; the others are known by the parts that the links so far make
         both = active.select(F.col("node").alias("a"), F.col("part").alias("b")).where("a <> b").union(found[-1])
@@ -308,27 +318,34 @@ def repeats(rows: DataFrame) -> DataFrame:
     equal = written(marked.join(nodes.select(*one, "node"), one).where("id <> node").select("id"), "equal")
     members = nodes.select("node", F.explode("bands").alias("key"))
     buckets = _buckets(members)
-    pairs = members.join(buckets, "key").where("node <> first").select(F.col("node").alias("a"), F.col("first").alias("b"))
-    near = near_prints(nodes).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    pairs = written(pairs.union(near).distinct(), "pairs")
-    asked = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    sets = written(shingle_sets(rows.withColumnRenamed("id", "node").join(asked, "node").dropDuplicates(["node"])), "sets")
-    done = [marked, nodes, buckets, pairs, sets]
-    links = [written(verified(pairs, sets), "links")]
+    met = members.join(buckets, "key").where("node <> first").groupBy(F.col("node").alias("a"), F.col("first").alias("b")).agg(F.count("*").alias("keys"))
+    near = near_prints(nodes).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"), F.lit(0).alias("keys"))
+    pairs = written(met.union(near), "pairs")
+    asked = written(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct(), "asked")
+    few = asked.count() <= MOST_SENT
+    texts = rows.select(F.col("id").alias("node"), F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(asked) if few else asked, "node")
+    texts = written(texts.groupBy("node").agg(F.first("text").alias("text")), "texts")
+    done = [marked, nodes, buckets, pairs, asked, texts]
+    # most texts are linked by the one that they share most keys with
+    links = [written(verified(pairs.groupBy("a").agg(F.max_by("b", F.struct("keys", -F.col("b"))).alias("b")), texts), "links")]
     parts = written(components(links[0]), "parts")
+    links.append(written(verified(_across(pairs.select("a", "b"), parts), texts), "links"))
+    done.append(parts)
+    parts = written(components(links[0].union(links[1])), "parts")
     mixed = _mixed(members, buckets, parts)
-    links.append(_settled(mixed, sets))
+    links.append(_settled(mixed, texts))
     done += [parts, mixed]
     if not (hot := mixed.where(F.col("n") > SMALL)).isEmpty():
-        own = rarest(sets.join(hot.select("node").distinct(), "node", "left_semi"))
-        again = _buckets(own)
-        named = lambda node, part: parts.select(F.col("node").alias(node), F.col("label").alias(part))
-        pairs = own.join(again, "key").where("node <> first").select(F.col("node").alias("a"), F.col("first").alias("b")).distinct()
-        pairs = pairs.join(named("a", "pa"), "a", "left").join(named("b", "pb"), "b", "left").where(F.coalesce("pa", "a") != F.coalesce("pb", "b")).select("a", "b")
-        links.append(written(verified(pairs, sets), "links"))
-        open_ = _mixed(own, again, components(links[0].union(links[1]).union(links[2])))
-        links.append(_settled(open_, sets))
-        links += _by_rounds(open_, sets)
+        own = rarest(texts.join(hot.select("node").distinct(), "node", "left_semi"))
+        known = own.join(parts, "node", "left").select("key", "node", F.coalesce("label", "node").alias("part"))
+        again = known.groupBy("key").agg(F.min("node").alias("first"), F.count("*").alias("n"), F.min("part").alias("low"), F.max("part").alias("high"))
+        again = written(again.where("low < high").select("key", "first", "n"), "buckets")
+        pairs = own.join(again, "key").where("node <> first").select(F.col("node").alias("a"), F.col("first").alias("b"))
+        links.append(written(verified(_across(pairs, parts), texts), "links"))
+        every = links[0].union(links[1]).union(links[2]).union(links[3])
+        open_ = _mixed(own, again, components(every))
+        links.append(_settled(open_, texts))
+        links += _by_rounds(open_, texts)
         done += [own, again, open_]
     every = links[0]
     for part in links[1:]:
