@@ -75,13 +75,19 @@ def format_size(c: Column) -> Column:
     return out.otherwise(F.format_string("%.2f PB", c / F.lit(float(1024**5))))
 
 
-def stop_words() -> Column:
-    return F.array(*[F.lit(w) for w in C.STOP_WORDS])
+def is_stop_word(w: Column) -> Column:
+    return w.isin(*C.STOP_WORDS)
+
+
+def padded(c: Column, width: int) -> Column:
+    """The number with zeros before it up to the width; longer numbers stay whole."""
+    digits = c.cast("string")
+    return F.when(F.length(digits) < width, F.lpad(digits, width, "0")).otherwise(digits)
 
 
 def tokens(c: Column) -> Column:
     """Lower-cased words of Latin, Cyrillic and digits without stop words."""
-    return F.filter(F.regexp_extract_all(F.lower(c), F.lit("[A-Za-zА-Яа-я0-9]{2,}"), 0), lambda w: ~F.array_contains(stop_words(), w))
+    return F.filter(F.regexp_extract_all(F.lower(c), F.lit("[A-Za-zА-Яа-я0-9]{2,}"), 0), lambda w: ~is_stop_word(w))
 
 
 def keyword_tokens(c: Column) -> Column:

@@ -59,7 +59,7 @@ def chunked(cards: DataFrame, key: str = "book") -> DataFrame:
     per = rows.groupBy(key, "page_num").agg(F.count("*").alias("n"))
     before = F.coalesce(F.sum("n").over(Window.partitionBy(key).orderBy("page_num").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     placed = rows.join(per.withColumn("before", before).drop("n"), [key, "page_num"])
-    return placed.withColumns({"chunk_id": F.lpad((F.col("before") + F.col("ord")).cast("string"), 8, "0"), "tokens": T.token_count(F.col("text"))}).drop("before")
+    return placed.withColumns({"chunk_id": T.padded(F.col("before") + F.col("ord"), 8), "tokens": T.token_count(F.col("text"))}).drop("before")
 
 
 def audit(chunks: DataFrame, key: str = "book") -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions import counts
 from ..functions import text as T
 
 OVERLAP = 0.1
@@ -51,10 +52,9 @@ def continuity_audit(cards: DataFrame) -> DataFrame:
 
 def key_terms(cards: DataFrame, k: int = 10) -> DataFrame:
     """(doc_id, rank, term, n): the k most frequent long words, then those that occur more than once."""
-    t = cards.select("doc_id", F.posexplode(F.filter(T.tokens(F.col("segment")), lambda w: F.length(w) > 3)).alias("i", "term"))
-    n = t.groupBy("doc_id", "term").agg(F.count("*").alias("n"), F.min("i").alias("i"))
-    rank = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.desc("n"), "i"))
-    return n.withColumn("rank", rank).where((F.col("rank") <= k) & (F.col("n") > 1)).select("doc_id", "rank", "term", "n")
+    long = F.filter(T.tokens(F.col("segment")), lambda w: F.length(w) > 3)
+    t = cards.select("doc_id", F.posexplode(counts.frequent(long, F.lit(k))).alias("i", "t"))
+    return t.select("doc_id", (F.col("i") + 1).alias("rank"), "t.term", "t.n")
 
 
 def audit(cards: DataFrame) -> DataFrame:

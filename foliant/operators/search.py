@@ -41,7 +41,7 @@ def nearest(vectors: DataFrame, query: DataFrame, k: int, metric: str = "cosine"
 
 def bm25(docs: DataFrame, terms: DataFrame, k: int, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """(id, score > 0) of the k best documents for the query's terms (repeats count); a negative idf becomes a share of the mean idf."""
-    words = docs.select(F.col(id_col).alias("id"), T.keyword_tokens(F.col(text)).alias("w"))
+    words = docs.select(F.col(id_col).alias("id"), F.coalesce(T.keyword_tokens(F.col(text)), F.array().cast("array<string>")).alias("w"))
     sizes = words.select("id", F.size("w").alias("size"))
     totals = sizes.agg(F.count("*").alias("docs"), F.avg("size").alias("mean_size"))
     tf = words.select("id", F.explode("w").alias("term")).groupBy("id", "term").agg(F.count("*").alias("tf"))

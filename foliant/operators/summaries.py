@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions import counts
 from ..functions import text as T
 
 WEIGHTS = {"position": 0.1, "length": 0.1, "digit": 0.05, "colon": 0.03}
@@ -12,7 +13,7 @@ LEVELS = {"l1": (3, 300), "l2": (6, 900)}
 
 
 def words(c):
-    return F.filter(F.regexp_extract_all(F.lower(c), F.lit("[A-Za-zА-Яа-я0-9]{3,}"), 0), lambda w: ~F.array_contains(T.stop_words(), w))
+    return F.filter(F.regexp_extract_all(F.lower(c), F.lit("[A-Za-zА-Яа-я0-9]{3,}"), 0), lambda w: ~T.is_stop_word(w))
 
 
 def word_frequencies(cards: DataFrame, key: str = "doc_id", text: str = "segment") -> DataFrame:
@@ -21,38 +22,45 @@ def word_frequencies(cards: DataFrame, key: str = "doc_id", text: str = "segment
     return n.withColumn("frequency", F.col("n") / F.max("n").over(Window.partitionBy(key)))
 
 
+def _scored(cards: DataFrame, key: str, text: str) -> DataFrame:
+    """(key, text, scored): an array of (i, sentence, score) of each text's sentences that have words.
+
+    Mean frequencies come from whole numbers (sum of counts, count, largest count), so that the order of addition cannot show.
+    """
+    rows = cards.select(key, F.col(text).alias("text"), T.summary_sentences(F.col(text)).alias("every"))
+    rows = rows.withColumn("found", counts.sentence_sums(words(F.col("text")), F.transform("every", words)))
+    every = F.col("every")
+
+    def score(i):
+        s, sums = F.get(every, i), F.get(F.col("found.sums"), i)
+        value = (
+            sums["total"] / (sums["n"] * F.col("found.top"))
+            + (F.size(every) - i) / F.size(every) * WEIGHTS["position"]
+            + F.least(F.lit(1.0), F.lit(100.0) / (F.length(s) + 1)) * WEIGHTS["length"]
+            + F.when(s.rlike("[0-9]"), WEIGHTS["digit"]).otherwise(0.0)
+            + F.when(s.contains(":"), WEIGHTS["colon"]).otherwise(0.0)
+        )
+        return F.struct(i.alias("i"), s.alias("sentence"), F.when(sums["n"] > 0, F.round(value, 9)).alias("score"))
+
+    places = F.when(F.size(every) > 0, F.sequence(F.lit(0), F.size(every) - 1))
+    return rows.select(key, "text", F.filter(F.transform(places, score), lambda x: x["score"].isNotNull()).alias("scored"))
+
+
 def sentence_scores(cards: DataFrame, key: str = "doc_id", text: str = "segment") -> DataFrame:
     """(key, i, sentence, score): mean word frequency plus what place, length, digits and colons add."""
-    s = cards.select(key, T.summary_sentences(F.col(text)).alias("all"))
-    s = s.select(key, F.size("all").alias("k"), F.posexplode("all").alias("i", "sentence"))
-    w = s.select(key, "i", F.explode(words(F.col("sentence"))).alias("word"))
-    mean = _means(w, cards, key, text)
-    score = (
-        F.col("mean")
-        + (F.col("k") - F.col("i")) / F.col("k") * WEIGHTS["position"]
-        + F.least(F.lit(1.0), F.lit(100.0) / (F.length("sentence") + 1)) * WEIGHTS["length"]
-        + F.when(F.col("sentence").rlike("[0-9]"), WEIGHTS["digit"]).otherwise(0.0)
-        + F.when(F.col("sentence").contains(":"), WEIGHTS["colon"]).otherwise(0.0)
-    )
-    return s.join(mean, [key, "i"]).select(key, "i", "sentence", F.round(score, 9).alias("score"))
-
-
-def _means(w: DataFrame, cards: DataFrame, key: str, text: str) -> DataFrame:
-    """Mean frequency by whole numbers (sum of counts, count, largest count), so that the order of addition cannot show."""
-    f = word_frequencies(cards, key, text).withColumn("top", F.max("n").over(Window.partitionBy(key)))
-    return w.join(f, [key, "word"]).groupBy(key, "i").agg((F.sum("n") / (F.count("*") * F.max("top"))).alias("mean"))
+    return _scored(cards, key, text).select(key, F.inline("scored"))
 
 
 def summaries(cards: DataFrame, level: str = "l1", key: str = "doc_id", text: str = "segment") -> DataFrame:
-    """(key, summary): the best sentences in their order, cut at a word; without sentences, the text's beginning."""
+    """(key, summary): the best sentences in their order, cut at a word; without sentences, the text's beginning.  Nothing leaves its row."""
     k, limit = LEVELS[level]
-    rank = F.row_number().over(Window.partitionBy(key).orderBy(F.desc("score"), "i"))
-    best = sentence_scores(cards, key, text).withColumn("r", rank).where(F.col("r") <= k)
-    joined = best.groupBy(key).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("i", "sentence"))), lambda x: x["sentence"]), " ").alias("s"))
+    ranked = F.array_sort(F.transform("scored", lambda x: F.struct((-x["score"]).alias("down"), x["i"].alias("i"), x["sentence"].alias("sentence"))))
+    best = F.array_sort(F.transform(F.slice(ranked, 1, k), lambda x: F.struct(x["i"].alias("i"), x["sentence"].alias("sentence"))))
+    s = F.when(F.size("scored") > 0, F.array_join(F.transform(best, lambda x: x["sentence"]), " "))
+    rows = _scored(cards.where(F.length(T.strip(F.col(text))) >= 50), key, text).withColumn("s", s)
     cut = F.concat(F.regexp_replace(F.regexp_replace(F.substring("s", 1, limit), " [^ ]*$", ""), "[.,;:\\-]+$", ""), F.lit("..."))
     short = F.when(F.length("s") > limit, cut).otherwise(F.col("s"))
-    j = cards.where(F.length(T.strip(F.col(text))) >= 50).join(joined, key, "left")
-    return j.select(key, F.coalesce(short, F.substring(T.strip(F.col(text)), 1, LEVELS["l1"][1])).alias("summary"))
+    return rows.select(key, F.coalesce(short, F.substring(T.strip(F.col("text")), 1, LEVELS["l1"][1])).alias("summary"))
 
 
 def audit(cards: DataFrame, key: str = "doc_id", text: str = "segment") -> DataFrame:

@@ -9,7 +9,7 @@ from ..operators import chunks, enrich, structure, summaries, validation
 from ..sources.shared import fresh
 
 STAGES = ["structure", "summarize", "extended", "finalize", "chunk"]
-#: A failure in these ends the run; others go on with what the stage before gave.
+#: A failure in these always ends the run.
 CRITICAL = {"finalize"}
 
 
@@ -33,9 +33,10 @@ STEPS = {
 }
 
 
-def run(cards: DataFrame, start: str = "structure", end: str = "chunk", write: bool = True) -> tuple[DataFrame, dict[str, str]]:
+def run(cards: DataFrame, start: str = "structure", end: str = "chunk", write: bool = True, keep_going: bool = False) -> tuple[DataFrame, dict[str, str]]:
     """The last stage's rows, and each stage's status: completed or failed.
 
+    A failure is raised; with ``keep_going`` one outside ``CRITICAL`` leaves the rows as the stage before gave them, and the status says so.
     With ``write`` each stage but the last is a Parquet table, so that no stage is computed again for a later one.
     """
     status = {}
@@ -48,7 +49,7 @@ def run(cards: DataFrame, start: str = "structure", end: str = "chunk", write: b
                 rows = cards.sparkSession.read.schema(rows.schema).parquet(path)
             cards, status[stage] = rows, "completed"
         except Exception:
-            if stage in CRITICAL:
+            if stage in CRITICAL or not keep_going:
                 raise
             status[stage] = "failed"
     return cards, status

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..functions.constants import SYNONYMS, THRESHOLDS
-from ..operators import chunks, enrich, intervals, quality, search, structure, summaries, validation
+from ..operators import chunks, enrich, intervals, keyword_index, quality, search, structure, summaries, validation
 from .card_queries import FILLED
 from .tables import CARDS, HEADED, cards, headed, table
 from .text_queries import listed, quoted, sql_keywords, sql_sentences, sql_strip, sql_tokens
@@ -71,7 +71,7 @@ v AS (SELECT doc_id, page_num, 'RequiredField' AS rule, 'ERROR' AS severity, 'Mi
 
 def line_records(spark, sf_dir):
     l = table(spark, sf_dir, "documents").select("doc_id", F.posexplode(F.split("text", "\n", -1)).alias("page_num", "line"))
-    sid = F.when((F.col("doc_id") + F.col("page_num")) % 11 != 0, F.lpad(F.floor(F.col("page_num") / 2).cast("string"), 5, "0"))
+    sid = F.when((F.col("doc_id") + F.col("page_num")) % 11 != 0, T.padded(F.floor(F.col("page_num") / 2), 5))
     return l.select("doc_id", "page_num", F.nullif("line", F.lit("")).alias("segment"), sid.alias("segment_id"))
 
 
@@ -165,9 +165,10 @@ def metric_trend(spark, sf_dir):
     return quality.trend(runs(spark, sf_dir), 10).select("stage", "r", "source", "value")
 
 
-@query(f"WITH {RUNS}, a AS (SELECT unnest(range(0, 400))::BIGINT AS source), l AS (SELECT source, arg_max(run, (ts, run)) AS run, arg_max(value, (ts, run)) AS value FROM runs GROUP BY source) SELECT a.source, coalesce(run::VARCHAR, 'No data') AS run, coalesce(value, -1) AS value FROM a LEFT JOIN l USING (source)")
+@query(f"WITH {RUNS}, a AS (SELECT user_id AS source FROM events UNION SELECT c_custkey FROM customer), l AS (SELECT source, arg_max(run, (ts, run)) AS run, arg_max(value, (ts, run)) AS value FROM runs GROUP BY source) SELECT a.source, coalesce(run::VARCHAR, 'No data') AS run, coalesce(value, -1) AS value FROM a LEFT JOIN l USING (source)")
 def compare_sources(spark, sf_dir):
-    asked = spark.range(400).select(F.col("id").alias("source"))
+    # every source with records, and customers without any
+    asked = table(spark, sf_dir, "events").select(F.col("user_id").alias("source")).union(table(spark, sf_dir, "customer").select("c_custkey")).distinct()
     return quality.latest(runs(spark, sf_dir), asked).select("source", F.coalesce(F.col("run").cast("string"), F.lit("No data")).alias("run"), F.coalesce("value", F.lit(-1.0)).alias("value"))
 
 
@@ -208,10 +209,12 @@ def status_pivot(spark, sf_dir):
     return intervals.status_pivot(intervals.status_intervals(log(spark, sf_dir), NOW), KINDS)
 
 
-@query("""WITH k AS (SELECT unnest(range(0, 200))::BIGINT AS key), g AS (SELECT user_id AS key, min(epoch_us(ts)) AS a, max(epoch_us(ts)) AS b FROM events GROUP BY 1)
+@query("""WITH k AS (SELECT user_id AS key FROM events UNION SELECT c_custkey FROM customer), g AS (SELECT user_id AS key, min(epoch_us(ts)) AS a, max(epoch_us(ts)) AS b FROM events GROUP BY 1)
 SELECT k.key, coalesce(a, -1) AS first_us, coalesce(b, -1) AS last_us, coalesce(round((b - a) / 86400000000, 4), -1) AS days FROM k LEFT JOIN g USING (key)""")
 def t2m(spark, sf_dir):
-    t = intervals.lead_times(spark.range(200).select(F.col("id").alias("key")), log(spark, sf_dir))
+    # every key with a log, and customers without one
+    keys = table(spark, sf_dir, "events").select(F.col("user_id").alias("key")).union(table(spark, sf_dir, "customer").select("c_custkey")).distinct()
+    t = intervals.lead_times(keys, log(spark, sf_dir))
     us = lambda c: F.coalesce(F.unix_micros(c), F.lit(-1))
     return t.select("key", us("first_at").alias("first_us"), us("last_at").alias("last_us"), F.coalesce("days", F.lit(-1.0)).alias("days"))
 
@@ -234,7 +237,9 @@ def terms(spark, sf_dir):
 
 
 def keyword(spark, sf_dir, k):
-    return search.bm25(table(spark, sf_dir, "documents"), terms(spark, sf_dir), k)
+    """From the stored index, which the first query over these files writes."""
+    words = [r["term"] for r in terms(spark, sf_dir).collect()]  # one query's words
+    return keyword_index.search(spark, keyword_index.kept(table(spark, sf_dir, "documents")), words, k)
 
 
 BM25 = f"""w AS (SELECT doc_id AS id, {sql_keywords('text')} AS w FROM documents), tot AS (SELECT count(*) AS docs, avg(len(w)) AS mean FROM w),

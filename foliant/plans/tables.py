@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..functions.text import padded
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -14,7 +16,7 @@ def cards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One card a document; a source is a book."""
     page = F.row_number().over(Window.partitionBy("source").orderBy("doc_id"))
     docs = table(spark, sf_dir, "documents")
-    return docs.select("doc_id", F.col("source").alias("book"), page.alias("page_num"), F.lpad(page.cast("string"), 5, "0").alias("segment_id"), F.col("text").alias("segment"), F.concat("source", F.lit(".pdf")).alias("source_file"))
+    return docs.select("doc_id", F.col("source").alias("book"), page.alias("page_num"), padded(page, 5).alias("segment_id"), F.col("text").alias("segment"), F.concat("source", F.lit(".pdf")).alias("source_file"))
 
 
 def headed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -30,7 +32,8 @@ def headed(spark: SparkSession, sf_dir: str) -> DataFrame:
 # The same, for the SQL side.
 CARDS = """cards AS (
   SELECT doc_id, source AS book, row_number() OVER (PARTITION BY source ORDER BY doc_id)::INTEGER AS page_num,
-         lpad(row_number() OVER (PARTITION BY source ORDER BY doc_id)::VARCHAR, 5, '0') AS segment_id, text AS segment, source || '.pdf' AS source_file
+         CASE WHEN row_number() OVER (PARTITION BY source ORDER BY doc_id) > 99999 THEN row_number() OVER (PARTITION BY source ORDER BY doc_id)::VARCHAR
+         ELSE lpad(row_number() OVER (PARTITION BY source ORDER BY doc_id)::VARCHAR, 5, '0') END AS segment_id, text AS segment, source || '.pdf' AS source_file
   FROM documents)"""
 HEADED = CARDS + """, headed AS (
   SELECT * EXCLUDE (segment), CASE WHEN page_num % 7 = 0 THEN 'Chapter ' || (page_num // 7) || ': Part on page ' || page_num || chr(10)

@@ -105,10 +105,11 @@ def source_lint(spark, sf_dir):
     return named(spark, sf_dir).select("p_partkey", F.array_join(T.name_issues(name, stem, 40), ",").alias("issues"), T.safe_name(stem, ".pdf", 40).alias("safe"))
 
 
-@query(f"WITH {CARDS} SELECT book, segment_id, page_num, segment, book AS merged_from FROM cards WHERE book IN ('src1', 'src2')")
+@query(f"WITH {CARDS} SELECT book, segment_id, page_num, segment, book AS merged_from FROM cards")
 def merge_datasets(spark, sf_dir):
     c = cards(spark, sf_dir)
-    return datasets.merged([c.where(F.col("book") == b).select("book", "segment_id", "page_num", "segment") for b in ("src1", "src2")])
+    books = [r["book"] for r in c.select("book").distinct().orderBy("book").collect()]  # the datasets' names, one file each
+    return datasets.merged([c.where(F.col("book").eqNullSafe(b)).select("book", "segment_id", "page_num", "segment") for b in books])
 
 
 @query(f"""WITH {CARDS} SELECT book, count(*)::BIGINT AS cards, sha256(string_agg(segment_id || ' ' || sha256(segment), chr(10) ORDER BY segment_id) || chr(10)) AS manifest FROM cards GROUP BY book""")

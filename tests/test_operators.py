@@ -152,3 +152,32 @@ def test_pipeline_runs_in_part_and_whole(spark):
     assert set(status) == {"structure", "summarize"} and "l1_summary" in rows.columns
     with pytest.raises(Exception):
         pipeline.run(c.drop("segment"), "finalize", "finalize")
+
+
+def test_numbers_above_the_width_stay_whole(spark):
+    from foliant.functions.text import padded
+
+    rows = spark.createDataFrame([(7,), (99999,), (100000,), (123456,)], "n long").select(padded(F.col("n"), 5).alias("p")).collect()
+    assert [r["p"] for r in rows] == ["00007", "99999", "100000", "123456"]
+
+
+def test_a_failed_stage_is_raised_unless_asked(spark):
+    c = cards(spark, [(1, "Chapter 1: Title\nwords")])
+    with pytest.raises(Exception):
+        pipeline.run(c.drop("doc_id"), "summarize", "summarize")
+    _, status = pipeline.run(c.drop("doc_id"), "summarize", "summarize", keep_going=True)
+    assert status == {"summarize": "failed"}
+
+
+def test_keyword_index_gives_what_raw_texts_give(spark, tmp_path):
+    from foliant.operators import keyword_index, search
+
+    texts = ["red apple tree", "red red rose", None, "", "blue sky over the apple tree", "apple apple apple pie"]
+    d = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    path = keyword_index.build(d, str(tmp_path / "index"))
+    for words in (["apple", "tree", "apple"], ["red"], ["none"], []):
+        asked = spark.createDataFrame([(w,) for w in words], "term string")
+        want = [tuple(r) for r in search.bm25(d, asked, 4).collect()]
+        assert [tuple(r) for r in keyword_index.search(spark, path, words, 4).collect()] == want
+    plan = keyword_index.search(spark, path, ["apple"], 4)._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [IsNotNull(term), EqualTo(term,apple)]" in plan or "In(term" in plan

@@ -47,6 +47,6 @@ def test_queries_without_sql_run(spark, name):
 
 
 def test_no_python_in_queries_with_sql(spark):
-    for name in ("chunk_pages", "bm25_search", "sentence_scores", "dup_mark"):
+    for name in ("chunk_pages", "bm25_search", "dup_mark"):
         plan = QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
         assert "Python" not in plan and "Pandas" not in plan, name
