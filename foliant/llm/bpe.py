@@ -2,8 +2,8 @@
 
 A slice of texts is normalised, cut into words by character class, and its
 distinct words are encoded by the automaton; a text's ids and labels are its
-words' ids and labels in order.  The per-process word cache is cleared when its
-words have ``CACHE_BYTES`` bytes, so memory is bounded and no word is left out.
+words' ids and labels in order.  The per-process word cache is cleared when it
+takes ``CACHE_BYTES`` bytes, so memory is bounded and no word is left out.
 """
 
 from __future__ import annotations
@@ -23,8 +23,8 @@ from . import kernel as K
 from .automaton import Automaton
 from .presplit import bare_words
 
-#: Bytes of words that a worker keeps with their ids.
-CACHE_BYTES = 8 << 20
+#: Bytes that a worker keeps for words, ids and labels, and what the interpreter takes for each such entry.
+CACHE_BYTES, ENTRY_BYTES = 64 << 20, 320
 # The word pattern, the normaliser and the pre-tokenizer of the tokenizer files that are coded here.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 NORMALIZERS = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]
@@ -74,9 +74,9 @@ class Coder:
             if self.held > CACHE_BYTES:
                 self.words.clear()
                 self.held = 0
-            self.held += len(raw)
             ids = self.automaton.encode(raw)
             found = self.words[raw] = " ".join(map(str, ids)), self.automaton.decode(ids), len(ids)
+            self.held += len(raw) + len(found[0]) + len(found[1]) + ENTRY_BYTES
         return found
 
     def mixed(self, text: str) -> tuple[list[str], list[str], int]:

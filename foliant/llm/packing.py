@@ -25,7 +25,8 @@ from __future__ import annotations
 import base64
 import json
 import zlib
-from functools import lru_cache
+from array import array
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -40,8 +41,8 @@ from .shared import removed, written
 
 WINDOW = 1024
 END_ID = 0
-#: Bytes of words that a worker keeps with their ids.
-CACHE_BYTES = 8 << 20
+#: Bytes that a worker keeps for words and their ids, and what the interpreter takes for each such entry.
+CACHE_BYTES, ENTRY_BYTES = 64 << 20, 180
 WIDTH = np.uint32
 
 
@@ -54,7 +55,6 @@ class ByteBpe:
 
     def __init__(self, path: str):
         import tiktoken
-        from tokenizers import Tokenizer
 
         with open(path, encoding="utf-8") as f:
             data = json.load(f)
@@ -64,21 +64,29 @@ class ByteBpe:
         back = {c: b for b, c in enumerate(byte_letters())}
         self.special = {t["content"]: t["id"] for t in data.get("added_tokens") or []}
         ranks = {bytes(back[c] for c in t): i for t, i in data["model"]["vocab"].items() if t not in self.special}
+        self.path = path
         self.core = tiktoken.Encoding("bpe", pat_str=r"[\s\S]+", mergeable_ranks=ranks, special_tokens={})
-        self.library = Tokenizer.from_file(path)
-        self.library.no_padding()
-        self.library.no_truncation()
-        self.words: dict[bytes, np.ndarray] = {}
+        self.words: dict[bytes, bytes] = {}
         self.held = 0
 
-    def word(self, raw: bytes) -> np.ndarray:
+    @cached_property
+    def library(self):
+        from tokenizers import Tokenizer
+
+        library = Tokenizer.from_file(self.path)
+        library.no_padding()
+        library.no_truncation()
+        return library
+
+    def word(self, raw: bytes) -> bytes:
+        """A word's ids, as ``WIDTH`` values."""
         found = self.words.get(raw)
         if found is None:
             if self.held > CACHE_BYTES:
                 self.words.clear()
                 self.held = 0
-            found = self.words[raw] = np.array(self.core._encode_single_piece(raw), WIDTH)
-            self.held += len(raw)
+            found = self.words[raw] = array("I", self.core._encode_single_piece(raw)).tobytes()
+            self.held += len(raw) + len(found) + ENTRY_BYTES
         return found
 
     def texts(self, buf: np.ndarray, offs: np.ndarray):
@@ -105,8 +113,8 @@ class ByteBpe:
         to = np.append(at[1:], len(buf))
         codes, one = K.distinct(buf, at, to)
         known = [self.word(raw[a:b]) for a, b in zip(at[one].tolist(), to[one].tolist())]
-        size = np.array([len(k) for k in known], np.int64)
-        flat = np.concatenate(known)
+        size = np.array([len(k) for k in known], np.int64) // WIDTH().itemsize
+        flat = np.frombuffer(b"".join(known), WIDTH)
         ids = flat[K.ragged((np.cumsum(size) - size)[codes], size[codes])]
         total = np.concatenate([[0], np.cumsum(size[codes])])
         return ids, total[np.searchsorted(at, offs)]
