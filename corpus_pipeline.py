@@ -36,13 +36,15 @@ def deduplicated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     own; repeated rows become one.
     """
     rows = docs.select(*COLUMNS)
-    texts = rows.groupBy("doc_id").agg(F.min(F.xxhash64("text")).alias("low"), F.max(F.xxhash64("text")).alias("high")).where("low < high")
-    unclear = written(texts.where("doc_id is not null").select("doc_id", F.lit(True).alias("unclear")), "unclear")
+    texts = rows.groupBy("doc_id").agg(F.min(F.xxhash64("text")).alias("low"), F.max(F.xxhash64("text")).alias("high"), F.count("*").alias("n"))
+    shared = written(texts.where("doc_id is not null and n > 1").select("doc_id", (F.col("low") < F.col("high")).alias("unclear")), "shared")
     stand_in = F.xxhash64("text").bitwiseAND(F.lit((1 << 61) - 1)).bitwiseOR(F.lit(1 << 61))
-    rows = rows.join(unclear, "doc_id", "left").withColumn("row", F.when(F.col("unclear"), stand_in).otherwise(F.coalesce("doc_id", stand_in)))
+    rows = rows.join(shared, "doc_id", "left").withColumn("row", F.when(F.col("unclear"), stand_in).otherwise(F.coalesce("doc_id", stand_in)))
     gone = similar.repeats(rows.select(F.col("row").alias("id"), "text")).toDF("row")
     one = F.row_number().over(Window.partitionBy("row").orderBy("doc_id", "text", "lang", "source"))
-    return rows.join(gone, "row", "left_anti").withColumn("one", one).where("one = 1").select(*COLUMNS)
+    kept = rows.join(gone, "row", "left_anti")
+    own = F.col("doc_id").isNotNull() & F.col("unclear").isNull()  # no other row has the id, so these texts need no exchange
+    return kept.where(own).select(*COLUMNS).union(kept.where(~own).withColumn("one", one).where("one = 1").select(*COLUMNS))
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
