@@ -93,11 +93,12 @@ def prints(rows: DataFrame) -> DataFrame:
 
 
 def _linked(batches):
-    """Links (a, b) of a partition sorted by (space, key): a forest over the texts that are near by some key."""
-    names = ["space", "key", "probe", "fp", "node"]
+    """Links (a, b) of a partition sorted by slot: a forest over the texts that are near by some key."""
+    names = ["slot", "fp", "node"]
 
-    def solve(space, key, probe, fp, node):
-        head = np.flatnonzero(np.append(True, (space[1:] != space[:-1]) | (key[1:] != key[:-1])))
+    def solve(slot, fp, node):
+        key, probe = slot >> 1, (slot & 1).astype(bool)
+        head = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
         size = np.diff(np.append(head, len(key)))
         tables = np.add.reduceat(~probe, head)  # table rows come first in a run
         probes = size - tables
@@ -143,11 +144,11 @@ def _linked(batches):
     held = None
     for batch in batches:
         new = [batch.column(names.index(n)).to_numpy(zero_copy_only=False) for n in names]
-        new[3] = new[3].astype(np.int64).view(np.uint64)
+        new[1] = new[1].astype(np.int64).view(np.uint64)
         held = new if held is None else [np.concatenate(x) for x in zip(held, new)]
         if len(held[0]) < 200_000:
             continue
-        last = np.flatnonzero((held[0] != held[0][-1]) | (held[1] != held[1][-1]))
+        last = np.flatnonzero(held[0] >> 1 != held[0][-1] >> 1)
         cut = int(last[-1]) + 1 if len(last) else 0
         if cut:
             if (out := solve(*(x[:cut] for x in held))) is not None:
@@ -159,19 +160,21 @@ def _linked(batches):
 
 
 def near_prints(nodes: DataFrame) -> DataFrame:
-    """(a, b): links that connect all texts whose fingerprints are near."""
-    tables, probes = [], []
+    """(a, b): links that connect all texts whose fingerprints are near.
+
+    A slot is the fingerprint's number, segment and key, and in the last bit whether the row asks or is asked.
+    """
+    rows = []
     for f in range(3):
         for s in range(SEGMENTS):
             bits = BOUNDS[s + 1] - BOUNDS[s]
-            key = F.shiftrightunsigned(f"f{f}", BOUNDS[s]).bitwiseAND(F.lit((1 << bits) - 1)).cast("int")
-            part = [F.lit(f * SEGMENTS + s).alias("space"), key.alias("key"), F.col(f"f{f}").alias("fp")]
-            tables.append(F.struct(*part, F.array(F.lit(0)).alias("masks"), F.lit(False).alias("probe")))
-            probes.append(F.struct(*part, F.array(*map(F.lit, _ball(bits, RADIUS // SEGMENTS))).alias("masks"), F.lit(True).alias("probe")))
-    rows = nodes.select("node", F.inline(F.array(*tables, *probes)))
-    rows = rows.select("space", "probe", "fp", "node", "key", F.explode("masks").alias("mask"))
-    rows = rows.select("space", F.col("key").bitwiseXOR(F.col("mask")).alias("key"), "probe", "fp", "node")
-    return rows.repartition("space", "key").sortWithinPartitions("space", "key", "probe").mapInArrow(_linked, LINKS)
+            key = F.shiftrightunsigned(f"f{f}", BOUNDS[s]).bitwiseAND(F.lit((1 << bits) - 1))
+            slot = F.shiftleft(key.bitwiseOR(F.lit((f * SEGMENTS + s) << 32)), 1)
+            for masks, probe in (([0], 0), (_ball(bits, RADIUS // SEGMENTS), 1)):
+                rows.append(F.struct(slot.alias("slot"), F.col(f"f{f}").alias("fp"), F.array(*[F.lit(m << 1 | probe).cast("long") for m in masks]).alias("masks")))
+    rows = nodes.select("node", F.inline(F.array(*rows))).select("slot", "fp", "node", F.explode("masks").alias("mask"))
+    rows = rows.select(F.col("slot").bitwiseXOR(F.col("mask")).alias("slot"), "fp", "node")
+    return rows.repartition(F.shiftright("slot", 1)).sortWithinPartitions("slot").mapInArrow(_linked, LINKS)
 
 
 LINKS = "a long, b long"
@@ -191,21 +194,33 @@ def alike(a: np.ndarray, b: np.ndarray) -> bool:
     return both >= SIMILAR * (len(a) + len(b) - both)
 
 
+def _sent(rows: DataFrame) -> DataFrame:
+    """A written table of ids, for a join with texts: sent to all executors if it is small enough, so that the texts stay where they are."""
+    return F.broadcast(rows) if rows.count() <= MOST_SENT else rows
+
+
 def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """Of the pairs (a, b), those that are alike; texts travel, as they are smaller than their sets."""
+    """Of the different pairs (a, b), those that are alike; written.
+
+    Only the texts of pairs travel, once for each pair, to a place that the pair decides, so no text is a hot key.
+    """
 
     def run(batches):
-        last = None, None
+        before = None, None
         for batch in batches:
             keep = []
-            for b, x, y in zip(batch.column(1).to_pylist(), batch.column(2), batch.column(3)):
-                if last[0] != b:  # sorted by b, which many may share
-                    last = b, shingle_set(y.as_py())
-                keep.append(alike(shingle_set(x.as_py()), last[1]))
+            for a, b, node, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist(), batch.column(3)):
+                own = shingle_set(text.as_py())
+                keep.append(before[0] == (a, b) and node == b and alike(before[1], own))  # a's row comes just before b's
+                before = (a, b), own
             yield batch.filter(pa.array(keep, pa.bool_())).select(["a", "b"])
 
-    both = pairs.join(texts.toDF("a", "x"), "a").join(texts.toDF("b", "y"), "b")
-    return both.select("a", "b", "x", "y").mapInArrow(run, LINKS)
+    pairs = written(pairs.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "asked")
+    sides = written(pairs.select(F.explode(F.array("a", "b")).alias("node"), "a", "b"), "sides")
+    both = texts.join(_sent(sides), "node").select("a", "b", "node", "text")
+    out = written(both.repartition("a", "b").sortWithinPartitions("a", "b", "node").mapInArrow(run, LINKS), "links")
+    removed(texts.sparkSession, pairs, sides)
+    return out
 
 
 def _grouped(group: pd.DataFrame) -> pd.DataFrame:
@@ -256,8 +271,11 @@ def _mixed(members: DataFrame, buckets: DataFrame, parts: DataFrame) -> DataFram
 
 def _settled(mixed: DataFrame, texts: DataFrame) -> DataFrame:
     """The links between the parts of small buckets; written."""
-    few = mixed.where(F.col("n") <= SMALL).join(texts, "node").select("key", "node", "part", "text")
-    return written(few.groupBy("key").applyInPandas(_grouped, LINKS), "links")
+    few = written(mixed.where(F.col("n") <= SMALL).select("key", "node", "part"), "few")
+    rows = texts.join(_sent(few), "node").select("key", "node", "part", "text")
+    out = written(rows.groupBy("key").applyInPandas(_grouped, LINKS), "links")
+    removed(texts.sparkSession, few)
+    return out
 
 
 def rarest(texts: DataFrame) -> DataFrame:
@@ -298,7 +316,7 @@ def _by_rounds(mixed: DataFrame, texts: DataFrame) -> list[DataFrame]:
         within = active.join(large, "key")
         rank = F.row_number().over(Window.partitionBy("key").orderBy("node"))
         heads = written(within.where("part <> most").withColumn("r", rank).where(F.col("r") <= HEADS).select(*same, "part", "blocks"), "heads")
-        spread = heads.join(texts, "node").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(F.col("key").alias("k"), "block", F.col("node").alias("head"), F.col("part").alias("of"), F.col("text").alias("other"))
+        spread = texts.join(_sent(heads), "node").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(F.col("key").alias("k"), "block", F.col("node").alias("head"), F.col("part").alias("of"), F.col("text").alias("other"))
         blocks = within.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")).join(texts, "node").select("key", "block", "node", "part", "text")
         found.append(written(blocks.groupBy("key", "block").cogroup(spread.groupBy("k", "block")).applyInPandas(_compared, LINKS), "links"))
         # the heads are done with; the others are known by the parts that the links so far make
@@ -322,31 +340,31 @@ def repeats(rows: DataFrame) -> DataFrame:
     near = near_prints(nodes).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"), F.lit(0).alias("keys"))
     pairs = written(met.union(near), "pairs")
     asked = written(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct(), "asked")
-    few = asked.count() <= MOST_SENT
-    texts = rows.select(F.col("id").alias("node"), F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(asked) if few else asked, "node")
+    texts = rows.select(F.col("id").alias("node"), F.coalesce("text", F.lit("")).alias("text")).join(_sent(asked), "node")
     texts = written(texts.groupBy("node").agg(F.first("text").alias("text")), "texts")
     done = [marked, nodes, buckets, pairs, asked, texts]
     # most texts are linked by the one that they share most keys with
-    links = [written(verified(pairs.groupBy("a").agg(F.max_by("b", F.struct("keys", -F.col("b"))).alias("b")), texts), "links")]
+    links = [verified(pairs.groupBy("a").agg(F.max_by("b", F.struct("keys", -F.col("b"))).alias("b")), texts)]
     parts = written(components(links[0]), "parts")
-    links.append(written(verified(_across(pairs.select("a", "b"), parts), texts), "links"))
+    links.append(verified(_across(pairs.select("a", "b"), parts), texts))
     done.append(parts)
     parts = written(components(links[0].union(links[1])), "parts")
     mixed = _mixed(members, buckets, parts)
     links.append(_settled(mixed, texts))
     done += [parts, mixed]
     if not (hot := mixed.where(F.col("n") > SMALL)).isEmpty():
-        own = rarest(texts.join(hot.select("node").distinct(), "node", "left_semi"))
+        crowd = written(hot.select("node").distinct(), "crowd")
+        own = rarest(texts.join(_sent(crowd), "node", "left_semi"))
         known = own.join(parts, "node", "left").select("key", "node", F.coalesce("label", "node").alias("part"))
         again = known.groupBy("key").agg(F.min("node").alias("first"), F.count("*").alias("n"), F.min("part").alias("low"), F.max("part").alias("high"))
         again = written(again.where("low < high").select("key", "first", "n"), "buckets")
         pairs = own.join(again, "key").where("node <> first").select(F.col("node").alias("a"), F.col("first").alias("b"))
-        links.append(written(verified(_across(pairs, parts), texts), "links"))
+        links.append(verified(_across(pairs, parts), texts))
         every = links[0].union(links[1]).union(links[2]).union(links[3])
         open_ = _mixed(own, again, components(every))
         links.append(_settled(open_, texts))
         links += _by_rounds(open_, texts)
-        done += [own, again, open_]
+        done += [crowd, own, again, open_]
     every = links[0]
     for part in links[1:]:
         every = every.union(part)
