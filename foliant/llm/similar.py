@@ -49,7 +49,7 @@ SMALL, HEADS, BLOCK = 200, 250, 250
 SEEDS = (0x243F6A8885A308D3, 0x13198A2E03707344)
 BOUNDS = [64 * i // SEGMENTS for i in range(SEGMENTS + 1)]
 PAIRS = 1 << 19
-#: Ids that are broadcast at most (16 MB); more are joined by an exchange.
+#: Rows of up to five longs that are broadcast at most (40 MB); more are joined by an exchange.
 MOST_SENT = 1_000_000
 MULTIPLIERS, OFFSETS = np.random.default_rng(20240502).integers(0, 1 << 64, (2, BANDS * ROWS), dtype=np.uint64) | np.array([[1], [0]], np.uint64)
 
@@ -195,7 +195,7 @@ def alike(a: np.ndarray, b: np.ndarray) -> bool:
 
 
 def _sent(rows: DataFrame) -> DataFrame:
-    """A written table of ids, for a join with texts: sent to all executors if it is small enough, so that the texts stay where they are."""
+    """A written table of ids: sent to all executors if it has ``MOST_SENT`` rows at most, so that what it is joined with stays where it is."""
     return F.broadcast(rows) if rows.count() <= MOST_SENT else rows
 
 
@@ -262,9 +262,12 @@ def _across(pairs: DataFrame, parts: DataFrame) -> DataFrame:
     return both.where(F.coalesce("part_a", "a") != F.coalesce("part_b", "b")).select("a", "b")
 
 
-def _mixed(members: DataFrame, buckets: DataFrame, parts: DataFrame) -> DataFrame:
-    """(key, n, node, part) of the buckets of three or more texts that are in several parts; written."""
-    own = members.join(buckets.where("n > 2").select("key", "n"), "key").join(parts, "node", "left").select("key", "n", "node", F.coalesce("label", "node").alias("part"))
+def _mixed(shared: DataFrame, parts: DataFrame) -> DataFrame:
+    """(key, n, node, part) of the buckets of three or more texts that are in several parts; written.
+
+    ``shared``: (key, node, first, n) of the buckets with more than one text.
+    """
+    own = shared.where("n > 2").join(parts, "node", "left").select("key", "n", "node", F.coalesce("label", "node").alias("part"))
     open_ = own.groupBy("key").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low < high").select("key")
     return written(own.join(open_, "key"), "mixed")
 
@@ -313,17 +316,18 @@ def _by_rounds(mixed: DataFrame, texts: DataFrame) -> list[DataFrame]:
         if large.isEmpty():
             removed(spark, active, open_)
             return found
-        within = active.join(large, "key")
+        within = written(active.join(large, "key"), "within")
         rank = F.row_number().over(Window.partitionBy("key").orderBy("node"))
         heads = written(within.where("part <> most").withColumn("r", rank).where(F.col("r") <= HEADS).select(*same, "part", "blocks"), "heads")
         spread = texts.join(_sent(heads), "node").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(F.col("key").alias("k"), "block", F.col("node").alias("head"), F.col("part").alias("of"), F.col("text").alias("other"))
-        blocks = within.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")).join(texts, "node").select("key", "block", "node", "part", "text")
+        blocks = within.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+        blocks = texts.join(_sent(blocks), "node").select("key", "block", "node", "part", "text")
         found.append(written(blocks.groupBy("key", "block").cogroup(spread.groupBy("k", "block")).applyInPandas(_compared, LINKS), "links"))
         # the heads are done with; the others are known by the parts that the links so far make
         both = active.select(F.col("node").alias("a"), F.col("part").alias("b")).where("a <> b").union(found[-1])
         rest = within.select(*same, "part").join(heads.select(*same), same, "left_anti").join(components(both), "node", "left")
         after = written(rest.select(*same, F.coalesce("label", "part").alias("part")), "active")
-        removed(spark, active, open_, heads)
+        removed(spark, active, open_, within, heads)
         active = after
 
 
@@ -336,20 +340,21 @@ def repeats(rows: DataFrame) -> DataFrame:
     equal = written(marked.join(nodes.select(*one, "node"), one).where("id <> node").select("id"), "equal")
     members = nodes.select("node", F.explode("bands").alias("key"))
     buckets = _buckets(members)
-    met = members.join(buckets, "key").where("node <> first").groupBy(F.col("node").alias("a"), F.col("first").alias("b")).agg(F.count("*").alias("keys"))
+    shared = written(members.join(_sent(buckets), "key"), "shared")
+    met = shared.where("node <> first").groupBy(F.col("node").alias("a"), F.col("first").alias("b")).agg(F.count("*").alias("keys"))
     near = near_prints(nodes).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"), F.lit(0).alias("keys"))
     pairs = written(met.union(near), "pairs")
     asked = written(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct(), "asked")
     texts = rows.select(F.col("id").alias("node"), F.coalesce("text", F.lit("")).alias("text")).join(_sent(asked), "node")
     texts = written(texts.groupBy("node").agg(F.first("text").alias("text")), "texts")
-    done = [marked, nodes, buckets, pairs, asked, texts]
+    done = [marked, nodes, buckets, shared, pairs, asked, texts]
     # most texts are linked by the one that they share most keys with
     links = [verified(pairs.groupBy("a").agg(F.max_by("b", F.struct("keys", -F.col("b"))).alias("b")), texts)]
     parts = written(components(links[0]), "parts")
     links.append(verified(_across(pairs.select("a", "b"), parts), texts))
     done.append(parts)
     parts = written(components(links[0].union(links[1])), "parts")
-    mixed = _mixed(members, buckets, parts)
+    mixed = _mixed(shared, parts)
     links.append(_settled(mixed, texts))
     done += [parts, mixed]
     if not (hot := mixed.where(F.col("n") > SMALL)).isEmpty():
@@ -361,7 +366,7 @@ def repeats(rows: DataFrame) -> DataFrame:
         pairs = own.join(again, "key").where("node <> first").select(F.col("node").alias("a"), F.col("first").alias("b"))
         links.append(verified(_across(pairs, parts), texts))
         every = links[0].union(links[1]).union(links[2]).union(links[3])
-        open_ = _mixed(own, again, components(every))
+        open_ = _mixed(own.join(again, "key"), components(every))
         links.append(_settled(open_, texts))
         links += _by_rounds(open_, texts)
         done += [crowd, own, again, open_]
