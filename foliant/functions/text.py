@@ -177,3 +177,9 @@ def name_issues(name: Column, stem: Column, limit: int = 100) -> Column:
             F.when(stem != strip(stem), F.lit("WHITESPACE")),
         )
     )
+
+
+def salvaged(c: Column) -> Column:
+    """The first part in braces (one level may nest) of a model's answer that is JSON, else the whole answer if it is JSON, else null."""
+    found = F.filter(F.regexp_extract_all(c, F.lit(r"\{[^{}]*(?:\{[^{}]*\}[^{}]*)*\}"), 0), lambda m: F.try_parse_json(m).isNotNull())
+    return F.coalesce(F.get(found, F.lit(0)), F.when(F.try_parse_json(c).isNotNull(), c))

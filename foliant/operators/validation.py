@@ -96,10 +96,18 @@ def finalized(cards: DataFrame) -> DataFrame:
     twice = cards.groupBy("book", "segment_id").agg(F.count("*").alias("same")).where("same > 1")
     j = cards.join(twice, ["book", "segment_id"], "left")
     gone = F.array_compact(F.array(*[F.when(F.coalesce(F.col(f).cast("string"), F.lit("")).isin("", "0"), F.lit("missing " + f)) for f in ("segment_id", "segment", "page_num", "source_file")]))
-    more = F.array_compact(F.array(F.when(F.length("segment") < 10, F.lit("short segment")), F.when(F.col("same").isNotNull(), F.lit("repeated segment_id"))))
+    more = F.array_compact(F.array(F.when(F.length(T.strip(F.col("segment"))) < 10, F.lit("short segment")), F.when(F.col("same").isNotNull(), F.lit("repeated segment_id"))))
     return j.withColumn("problems", F.concat(gone, more)).drop("same")
 
 
+def accepted(cards: DataFrame, strict: bool = False) -> DataFrame:
+    """The cards without a problem of their own (a repeated id is one of the dataset); ``strict`` raises if there are others."""
+    own = finalized(cards).withColumn("problems", F.array_remove("problems", "repeated segment_id"))
+    if strict and (n := own.where(F.size("problems") > 0).count()):
+        raise ValueError(f"{n} invalid cards")
+    return own.where(F.size("problems") == 0).drop("problems")
+
+
 def cleaned(cards: DataFrame, keep: tuple[str, ...] = ("segment", "l1_summary", "l2_summary")) -> DataFrame:
     """Empty strings become null but in text fields; page numbers become numbers where they can."""
     out = {c: F.nullif(F.col(c), F.lit("")) for c, kind in cards.dtypes if kind == "string" and c not in keep}

@@ -93,13 +93,20 @@ def violations_by_rule(spark, sf_dir):
 
 @query(f"""WITH {LINES}, t AS (SELECT doc_id AS book, segment_id FROM r WHERE segment_id IS NOT NULL GROUP BY ALL HAVING count(*) > 1)
 SELECT r.doc_id, r.page_num, array_to_string(list_filter([CASE WHEN coalesce(r.segment_id, '') IN ('', '0') THEN 'missing segment_id' END, CASE WHEN coalesce(segment, '') IN ('', '0') THEN 'missing segment' END,
- CASE WHEN page_num = 0 THEN 'missing page_num' END, CASE WHEN length(segment) < 10 THEN 'short segment' END, CASE WHEN t.book IS NOT NULL THEN 'repeated segment_id' END], lambda x: x IS NOT NULL), '; ') AS problems
+ CASE WHEN page_num = 0 THEN 'missing page_num' END, CASE WHEN length(regexp_replace(segment, '^[ \\t\\n\\r\\x0B\\f]+|[ \\t\\n\\r\\x0B\\f]+$', '', 'g')) < 10 THEN 'short segment' END, CASE WHEN t.book IS NOT NULL THEN 'repeated segment_id' END], lambda x: x IS NOT NULL), '; ') AS problems
 FROM r LEFT JOIN t ON t.book = r.doc_id AND t.segment_id = r.segment_id""")
 def finalize_validate(spark, sf_dir):
     c = line_records(spark, sf_dir).withColumns({"book": F.col("doc_id"), "source_file": F.lit("a.pdf")})
     return validation.finalized(c).select("doc_id", "page_num", F.array_join("problems", "; ").alias("problems"))
 
 
+@query(f"""WITH {LINES} SELECT doc_id, page_num, segment_id, segment FROM r WHERE segment_id IS NOT NULL AND page_num <> 0
+ AND length(regexp_replace(segment, '^[ \\t\\n\\r\\x0B\\f]+|[ \\t\\n\\r\\x0B\\f]+$', '', 'g')) >= 10""")
+def accepted_cards(spark, sf_dir):
+    c = line_records(spark, sf_dir).withColumns({"book": F.col("doc_id"), "source_file": F.lit("a.pdf")})
+    return validation.accepted(c).select("doc_id", "page_num", "segment_id", "segment")
+
+
 @query(f"WITH {LINES} SELECT doc_id, page_num, segment_id IS NULL AS no_id, coalesce(segment, '') AS segment FROM r")
 def clean_cards(spark, sf_dir):
     c = line_records(spark, sf_dir).withColumns({"segment_id": F.coalesce("segment_id", F.lit("")), "page_num": F.col("page_num").cast("string")})

@@ -35,6 +35,18 @@ def dataset_roundtrip(spark, sf_dir):
     return datasets.read(spark, folder).where("kind = 'card'").select("book", "segment_id", "page_num", "segment", "source_file")
 
 
+@query(f"""WITH {CARDS}, l AS (SELECT book, 1 AS rank, '' AS segment_id, to_json({{'segment_id': '__header__', 'book': book, 'version': '2.0.0', 'total_cards': count(*)}})::VARCHAR AS line FROM cards GROUP BY book
+ UNION ALL SELECT book, 2, segment_id, to_json({{'segment_id': segment_id, 'page_num': page_num, 'segment': segment, 'source_file': source_file}})::VARCHAR FROM cards
+ UNION ALL SELECT book, 3, '', to_json({{'segment_id': '__audit__', 'book': book, 'total_cards': count(*)}})::VARCHAR FROM cards GROUP BY book),
+m AS (SELECT book, count(*)::BIGINT AS lines, sha256(string_agg(line || chr(10), '' ORDER BY rank, segment_id)) AS found FROM l GROUP BY book)
+SELECT book, lines, found AS stated, found, true AS intact FROM m""")
+def dataset_manifest(spark, sf_dir):
+    """The digest of each book's file, as its footer states it and as its lines give it."""
+    folder = fresh(spark, "datasets")
+    datasets.written(cards(spark, sf_dir), folder)
+    return datasets.checked(spark, folder)
+
+
 def _events(spark, sf_dir):
     schema = table(spark, sf_dir, "events").schema
     return records.records(spark, f"{sf_dir}/events.parquet*", schema).withColumn("stage", F.col("event_type"))

@@ -232,11 +232,15 @@ def json_flatten(spark, sf_dir):
     return e.select("event_id", F.col("f.technical_content.k").alias("k"), F.col("f.content_type").alias("content_type"), F.coalesce("f.technical_content.has_code", F.lit(False)).alias("has_code"), F.size(topics).alias("n_topics"))
 
 
-@query("SELECT event_id, CAST(json_extract_string(regexp_extract('Answer: ' || props || ' done', '\\{[^{}]*\\}'), '$.k') AS BIGINT) AS k FROM events")
+@query("""WITH a AS (SELECT event_id, CASE event_id % 4 WHEN 0 THEN 'no answer' WHEN 1 THEN 'Answer: {bad} then ' || props || ' done' WHEN 2 THEN props ELSE 'x {"in": ' || props || '} ' || props END AS answer FROM events),
+f AS (SELECT event_id, answer, list_filter(regexp_extract_all(answer, '\\{[^{}]*(?:\\{[^{}]*\\}[^{}]*)*\\}'), lambda x: json_valid(x)) AS found FROM a)
+SELECT event_id, coalesce(found[1], CASE WHEN json_valid(answer) THEN answer END) AS found FROM f""")
 def json_salvage(spark, sf_dir):
-    """The first JSON object inside an answer."""
-    found = F.regexp_extract(F.concat(F.lit("Answer: "), "props", F.lit(" done")), r"\{(?:[^{}]|\{[^{}]*\})*\}", 0)
-    return table(spark, sf_dir, "events").select("event_id", F.get_json_object(found, "$.k").cast("long").alias("k"))
+    """The JSON object inside an answer, which may hold other braces before it, or none."""
+    m = F.col("event_id") % 4
+    nested = F.concat(F.lit('x {"in": '), "props", F.lit("} "), "props")
+    answer = F.when(m == 0, "no answer").when(m == 1, F.concat(F.lit("Answer: {bad} then "), "props", F.lit(" done"))).when(m == 2, F.col("props")).otherwise(nested)
+    return table(spark, sf_dir, "events").select("event_id", T.salvaged(answer).alias("found"))
 
 
 @query("""SELECT l.doc_id, CASE WHEN quality = 1 THEN 'simple' ELSE 'complex' END AS complexity, coalesce(CASE WHEN toxic = 1 THEN true END, contains(text, '=')) AS flag,
