@@ -67,12 +67,12 @@ def truncate_text(c: Column, n: int, suffix: str = "...") -> Column:
 
 
 def format_size(c: Column) -> Column:
-    """Bytes as B, KB, … with two digits."""
-    out = None
-    for k, unit in enumerate(["B", "KB", "MB", "GB", "TB"]):
-        text = F.format_string(f"%.2f {unit}", c / F.lit(float(1024**k)))
-        out = F.when(c < 1024 ** (k + 1), text) if out is None else out.when(c < 1024 ** (k + 1), text)
-    return out.otherwise(F.format_string("%.2f PB", c / F.lit(float(1024**5))))
+    """Bytes as B, KB, … with two digits, exact halves to the even one (``format_string`` rounds up and writes null as text)."""
+    text = lambda k, unit: F.concat(F.call_function("format_number", c / F.lit(float(1024**k)), F.lit("0.00")), F.lit(f" {unit}"))
+    out = F.when(c < 1024, text(0, "B"))
+    for k, unit in enumerate(["KB", "MB", "GB", "TB"], 1):
+        out = out.when(c < 1024 ** (k + 1), text(k, unit))
+    return out.otherwise(text(5, "PB"))
 
 
 def is_stop_word(w: Column) -> Column:

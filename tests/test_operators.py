@@ -29,6 +29,12 @@ def test_text_functions(spark):
     assert one(spark, "One. Two!  Three", T.sentences) == ["One.", "Two!", "Three"]
 
 
+def test_sizes_round_halves_to_even_and_null_stays(spark):
+    size = lambda n: spark.createDataFrame([(n,)], "x long").select(T.format_size(F.col("x")).alias("y")).first()["y"]
+    assert [size(n) for n in (1152, 1408, 37504, 1044167709991895)] == ["1.12 KB", "1.38 KB", "36.62 KB", "949.66 TB"]
+    assert [size(n) for n in (None, 0, 1023, 1024, 2**60)] == [None, "0.00 B", "1023.00 B", "1.00 KB", "1024.00 PB"]
+
+
 def fold(text, size=512, overlap=128, least=100):
     """The chunk fold in plain Python."""
     tok = lambda s: len(s) // 4
