@@ -1,8 +1,8 @@
 """Connected components of an edge table by alternating large-star and small-star.
 
 Both star steps are joins and aggregations over edges; no component and no
-neighbour list is ever gathered in one task.  Each round's edges are written to
-the shared folder, which cuts the lineage.
+neighbour list is ever gathered in one task, nor by a broadcast on the driver.
+Each round's edges are written to the shared folder, which cuts the lineage.
 """
 
 from __future__ import annotations
@@ -62,9 +62,9 @@ def components(edges: DataFrame) -> DataFrame:
     while not _stars(now):
         sym = now.union(now.select(F.col("b"), F.col("a")).toDF("a", "b"))
         least = sym.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("u"), F.least("a", "m").alias("m"))
-        large = sym.join(least, sym.a == least.u).where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
+        large = sym.join(least.hint("merge"), sym.a == least.u).where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
         small_min = large.groupBy("a").agg(F.min("b").alias("m")).withColumnRenamed("a", "u")
-        paired = large.join(small_min, large.a == small_min.u)
+        paired = large.join(small_min.hint("merge"), large.a == small_min.u)
         small = paired.select(F.col("b").alias("a"), F.col("m").alias("b")).union(small_min.select("u", "m").toDF("a", "b"))
         after = written(small.where("a <> b").distinct(), "edges")
         removed(spark, now)

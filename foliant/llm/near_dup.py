@@ -9,6 +9,9 @@ such a part, and verifies the complete distance.
 
 Equal fingerprints are collapsed before the index is built, so a group of
 copies of any size is one index row; no pairs inside it are ever made.
+
+All joins are ``merge`` joins: Spark's size check sees the few bytes of a Parquet
+file, not the rows that come of it, and would gather an index on the driver.
 """
 
 from __future__ import annotations
@@ -68,7 +71,7 @@ def links(nodes: DataFrame, radius: int = RADIUS, segments: int = SEGMENTS) -> D
     table = nodes.select("fp", F.inline(tables))
     probes = nodes.select(F.col("fp").alias("q"), F.inline(tables)).select("q", "seg", "key", F.explode(masks).alias("mask"))
     probes = probes.select("q", "seg", F.col("key").bitwiseXOR(F.col("mask")).alias("key"))
-    near = probes.join(table, ["seg", "key"]).where((F.col("q") > F.col("fp")) & (F.bit_count(F.col("q").bitwiseXOR(F.col("fp"))) <= radius))
+    near = probes.join(table.hint("merge"), ["seg", "key"]).where((F.col("q") > F.col("fp")) & (F.bit_count(F.col("q").bitwiseXOR(F.col("fp"))) <= radius))
     return near.select(F.col("q").alias("a"), F.col("fp").alias("b"))
 
 
@@ -82,7 +85,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     marked = written(fingerprints(docs, id_col, text_col, shingle), "fingerprints")
     nodes = written(marked.groupBy("fp").agg(F.min("id").alias("first")), "nodes")
     labels = components(links(nodes, radius))
-    named = nodes.join(labels, nodes.fp == labels.node, "left").select("fp", "first", F.coalesce("label", "fp").alias("label"))
+    named = nodes.join(labels.hint("merge"), nodes.fp == labels.node, "left").select("fp", "first", F.coalesce("label", "fp").alias("label"))
     least = named.groupBy("label").agg(F.min("first").alias("component"))
-    members = written(named.join(least, "label").select(F.col("fp").alias("member"), "component"), "members")
-    return marked.join(members, marked.fp == members.member).select("id", "fp", "component")
+    members = written(named.join(least.hint("merge"), "label").select(F.col("fp").alias("member"), "component"), "members")
+    return marked.join(members.hint("merge"), marked.fp == members.member).select("id", "fp", "component")

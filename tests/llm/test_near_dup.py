@@ -1,8 +1,10 @@
 import random
 
 import xxhash
+from pyspark.sql import functions as F
 
 from foliant.llm import near_dup
+from foliant.llm.shared import written
 
 from .helpers import docs, words
 
@@ -51,3 +53,10 @@ def test_null_ids_and_empty_table(spark):
     rows = sorted((r["id"] or -1, r["component"]) for r in near_dup.near_duplicates(frame).collect())
     assert rows == [(-1, 1), (1, 1), (2, 2)]
     assert near_dup.near_duplicates(frame.where("doc_id > 9")).count() == 0
+
+
+def test_nothing_that_grows_is_broadcast(spark):
+    frame = docs(spark, ["a b c", "a b c", "d", None])
+    nodes = written(near_dup.fingerprints(frame).groupBy("fp").agg(F.min("id").alias("first")), "nodes")
+    for found in (near_dup.links(nodes), near_dup.near_duplicates(frame)):
+        assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
