@@ -47,8 +47,12 @@ def _scored(cards: DataFrame, key: str, text: str) -> DataFrame:
 
 
 def sentence_scores(cards: DataFrame, key: str = "doc_id", text: str = "segment") -> DataFrame:
-    """(key, i, sentence, score): mean word frequency plus what place, length, digits and colons add."""
-    return _scored(cards, key, text).select(key, F.inline("scored"))
+    """(key, i, sentence, score): mean word frequency plus what place, length, digits and colons add.
+
+    ``inline_outer``, as before an ``inline`` Spark puts a filter on the array's size, which it pushes below the counts: there
+    the array is worked out once more, with its sentences split and counted anew for each sentence.
+    """
+    return _scored(cards, key, text).select(key, F.inline_outer("scored")).where("i is not null")
 
 
 def summaries(cards: DataFrame, level: str = "l1", key: str = "doc_id", text: str = "segment") -> DataFrame:

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from foliant.functions import text as T
-from foliant.operators import chunks, enrich, intervals, quality, search, structure, validation
+from foliant.operators import chunks, enrich, intervals, quality, search, structure, summaries, validation
 from foliant.plans import pipeline
 from foliant.sources import datasets
 
@@ -35,6 +35,14 @@ def test_sizes_round_halves_to_even_and_null_stays(spark):
     assert [size(n) for n in (None, 0, 1023, 1024, 2**60)] == [None, "0.00 B", "1023.00 B", "1.00 KB", "1024.00 PB"]
 
 
+def test_sentences_are_split_and_counted_once(spark):
+    cards = spark.createDataFrame([(1, "A first sentence of plain words. A second one of plain words: 2."), (2, "short"), (3, None), (4, "")], "doc_id long, segment string")
+    found = summaries.sentence_scores(cards)
+    assert [(r["doc_id"], r["i"]) for r in found.orderBy("doc_id", "i").collect()] == [(1, 0), (1, 1)]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1 and plan.count("split(") == 1
+
+
 def fold(text, size=512, overlap=128, least=100):
     """The chunk fold in plain Python."""
     tok = lambda s: len(s) // 4
