@@ -26,6 +26,9 @@ its least id stays.  Links are sought bucket by bucket (texts that share a key):
    bucket, in blocks, until its texts are in one group or few enough.
 
 Equal texts are one row throughout, and texts of one group are never compared.
+Before texts travel to be compared, their ``cells`` do: how many shingles fall
+in each of ``CELLS`` cells.  Two texts share no more than the lesser count of each
+cell, so a pair whose cells add up to too little is no link, whatever its words.
 """
 
 from __future__ import annotations
@@ -51,7 +54,13 @@ FIRST = 4
 SMALL, HEADS, BLOCK = 200, 250, 250
 SEEDS = (0x243F6A8885A308D3, 0x13198A2E03707344)
 BOUNDS = [64 * i // SEGMENTS for i in range(SEGMENTS + 1)]
+#: Bits of a segment's key that are not looked at when it is dealt out: 1536 places.
+LOW = 14
 PAIRS = 1 << 19
+#: Cells in which a text's different shingles are counted, a byte each, behind their number in four.
+CELLS = 128
+#: The rarest shingles are told by counts in 2**ORDER_BITS cells; where shingles share a cell the order is coarser, the links are the same.
+ORDER_BITS = 20
 #: Rows of up to five longs that are broadcast at most (40 MB); more are joined by an exchange.
 MOST_SENT = 1_000_000
 MULTIPLIERS, OFFSETS = np.random.default_rng(20240502).integers(0, 1 << 64, (2, BANDS * ROWS), dtype=np.uint64) | np.array([[1], [0]], np.uint64)
@@ -165,19 +174,23 @@ def _linked(batches):
 def near_prints(nodes: DataFrame) -> DataFrame:
     """(a, b): links that connect all texts whose fingerprints are near.
 
-    A slot is the fingerprint's number, segment and key, and in the last bit whether the row asks or is asked.
+    A slot is the fingerprint's number, segment and key, and in the last bit whether the row asks or is asked.  Slots
+    that differ in the key's lowest ``LOW`` bits alone meet in one place, so what a text asks is dealt out by the
+    other bits, and told apart by the lowest only there.
     """
-    rows = []
+    radius, rows = RADIUS // SEGMENTS, []
     for f in range(3):
         for s in range(SEGMENTS):
             bits = BOUNDS[s + 1] - BOUNDS[s]
             key = F.shiftrightunsigned(f"f{f}", BOUNDS[s]).bitwiseAND(F.lit((1 << bits) - 1))
             slot = F.shiftleft(key.bitwiseOR(F.lit((f * SEGMENTS + s) << 32)), 1)
-            for masks, probe in (([0], 0), (_ball(bits, RADIUS // SEGMENTS), 1)):
-                rows.append(F.struct(slot.alias("slot"), F.col(f"f{f}").alias("fp"), F.array(*[F.lit(m << 1 | probe).cast("long") for m in masks]).alias("masks")))
-    rows = nodes.select("node", F.inline(F.array(*rows))).select("slot", "fp", "node", F.explode("masks").alias("mask"))
-    rows = rows.select(F.col("slot").bitwiseXOR(F.col("mask")).alias("slot"), "fp", "node")
-    return rows.repartition(F.shiftright("slot", 1)).sortWithinPartitions("slot").mapInArrow(_linked, LINKS)
+            for m in _ball(bits - LOW, radius):
+                rows.append(F.struct(slot.bitwiseXOR(F.lit(m << LOW + 1)).alias("slot"), F.col(f"f{f}").alias("fp"), F.lit(m.bit_count()).cast("byte").alias("bits")))
+    rows = nodes.select("node", F.inline(F.array(*rows))).repartition(F.shiftright("slot", LOW + 1))
+    asks = [[m << 1 | 1 for m in _ball(LOW, radius - k)] for k in range(radius + 1)]
+    masks = F.array(*[F.array(*[F.lit(m).cast("long") for m in ([0] if k == 0 else []) + own]) for k, own in enumerate(asks)])
+    rows = rows.select("slot", "fp", "node", F.explode(F.get(masks, "bits")).alias("mask"))
+    return rows.select(F.col("slot").bitwiseXOR(F.col("mask")).alias("slot"), "fp", "node").sortWithinPartitions("slot").mapInArrow(_linked, LINKS)
 
 
 LINKS = "a long, b long"
@@ -197,6 +210,47 @@ def alike(a: np.ndarray, b: np.ndarray) -> bool:
     return both >= SIMILAR * (len(a) + len(b) - both)
 
 
+def _distinct(buf: np.ndarray, offs: np.ndarray):
+    """The different shingles of each text, sorted, and the texts' numbers."""
+    h, cut = shingle_hashes(buf, offs, SHINGLE)
+    doc = K.doc_of(cut, len(h))
+    order = np.lexsort((h, doc))
+    h, doc = h[order], doc[order]
+    new = np.ones(len(h), bool)
+    new[1:] = (h[1:] != h[:-1]) | (doc[1:] != doc[:-1])
+    return h[new], doc[new]
+
+
+def celled(texts: DataFrame) -> DataFrame:
+    """(node, text, cells) of every (node, text)."""
+
+    def run(batches):
+        for batch in batches:
+            for a, b, buf, offs in K.slices(batch.column(1)):
+                h, doc = _distinct(buf, offs)
+                n = b - a
+                cells = np.bincount(doc * CELLS + (h % np.uint64(CELLS)).astype(np.int64), minlength=n * CELLS).reshape(n, CELLS)
+                size = np.bincount(doc, minlength=n).astype("<u4").view(np.uint8).reshape(n, 4)
+                raw = np.hstack([size, np.minimum(cells, 255).astype(np.uint8)])
+                at = np.arange(n + 1, dtype=np.int32) * raw.shape[1]
+                cells = pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer(at), pa.py_buffer(raw.tobytes())])
+                yield pa.RecordBatch.from_arrays([batch.column(0)[a:b], batch.column(1)[a:b], cells], ["node", "text", "cells"])
+
+    return texts.select("node", "text").mapInArrow(run, "node long, text string, cells binary")
+
+
+def possible(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Whether the texts of two rows of cells can be alike, row by row; never false of two that are."""
+    n, m = (np.ascontiguousarray(x[:, :4]).view("<u4")[:, 0].astype(np.int64) for x in (a, b))
+    least = np.minimum(a[:, 4:], b[:, 4:])
+    most = np.where((least == 255).any(axis=1), np.minimum(n, m), np.minimum(least.sum(axis=1, dtype=np.int64), np.minimum(n, m)))
+    return most >= SIMILAR * (n + m - most)
+
+
+def _cells(column) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist() if isinstance(column, pa.Array) else column), np.uint8).reshape(len(column), 4 + CELLS)
+
+
 def _sent(rows: DataFrame) -> DataFrame:
     """A written table of ids: sent to all executors if it has ``MOST_SENT`` rows at most, so that what it is joined with stays where it is."""
     return F.broadcast(rows) if rows.count() <= MOST_SENT else rows
@@ -205,9 +259,19 @@ def _sent(rows: DataFrame) -> DataFrame:
 def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """Of the different pairs (a, b), those that are alike; written.
 
-    Only the texts of pairs travel, once for each pair, to a place that the pair decides, so no text is a hot key.
+    Only the cells of pairs travel, and of those that can be alike the texts, once for each pair, to a place that the pair decides, so no text is a hot key.
     """
 
+    def near(batches):
+        held = None
+        for batch in batches:
+            new = [*(batch.column(i).to_numpy() for i in range(3)), _cells(batch.column(3))]
+            a, b, node, cells = new if held is None else [np.concatenate(x) for x in zip(held, new)]
+            both = np.flatnonzero((a[1:] == a[:-1]) & (b[1:] == b[:-1]) & (node[1:] == b[1:]) & (node[:-1] == a[:-1]))
+            both = both[possible(cells[both], cells[both + 1])]
+            yield pa.RecordBatch.from_arrays([pa.array(a[both]), pa.array(b[both])], ["a", "b"])
+            held = [x[-1:] for x in (a, b, node, cells)]
+
     def run(batches):
         before = None, None
         for batch in batches:
@@ -219,11 +283,14 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
             yield batch.filter(pa.array(keep, pa.bool_())).select(["a", "b"])
 
     pairs = written(pairs.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "asked")
-    sides = written(pairs.select(F.explode(F.array("a", "b")).alias("node"), "a", "b"), "sides")
-    both = texts.join(_sent(sides), "node").select("a", "b", "node", "text")
-    out = written(both.repartition("a", "b").sortWithinPartitions("a", "b", "node").mapInArrow(run, LINKS), "links")
-    removed(texts.sparkSession, pairs, sides)
-    return out
+    done = [pairs]
+    for column, told, name in (("cells", near, "likely"), ("text", run, "links")):
+        sides = written(pairs.select(F.explode(F.array("a", "b")).alias("node"), "a", "b"), "sides")
+        both = texts.select("node", column).join(_sent(sides), "node").select("a", "b", "node", column)
+        pairs = written(both.repartition("a", "b").sortWithinPartitions("a", "b", "node").mapInArrow(told, LINKS), name)
+        done += [sides, pairs]
+    removed(texts.sparkSession, *done[:-1])
+    return pairs
 
 
 def _grouped(group: pd.DataFrame) -> pd.DataFrame:
@@ -239,6 +306,18 @@ def _grouped(group: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"a": pd.Series([a for a, _ in out], dtype="int64"), "b": pd.Series([b for _, b in out], dtype="int64")})
 
 
+def _meeting(group: pd.DataFrame) -> pd.DataFrame:
+    """(key, node, part) of those of a few that can be alike to one of another part."""
+    part, cells = group["part"].to_numpy(), _cells(group["cells"])
+    stays = np.zeros(len(part), bool)
+    for i in range(1, len(part)):
+        j = np.flatnonzero(part[:i] != part[i])
+        j = j[possible(cells[j], np.broadcast_to(cells[i], (len(j), cells.shape[1])))]
+        stays[j] = True
+        stays[i] |= len(j) > 0
+    return group.loc[stays, ["key", "node", "part"]]
+
+
 def _compared(members: pd.DataFrame, heads: pd.DataFrame) -> pd.DataFrame:
     """Links (a, b) of a block of members with the heads they are like, one for each part of the heads."""
     a, b = [], []
@@ -278,31 +357,50 @@ def _mixed(shared: DataFrame, parts: DataFrame) -> DataFrame:
 def _settled(mixed: DataFrame, texts: DataFrame) -> DataFrame:
     """The links between the parts of small buckets; written."""
     few = written(mixed.where(F.col("n") <= SMALL).select("key", "node", "part"), "few")
-    rows = texts.join(_sent(few), "node").select("key", "node", "part", "text")
+    rows = texts.select("node", "cells").join(_sent(few), "node").select("key", "node", "part", "cells")
+    meet = written(rows.groupBy("key").applyInPandas(_meeting, "key long, node long, part long"), "meet")
+    rows = texts.select("node", "text").join(_sent(meet), "node").select("key", "node", "part", "text")
     out = written(rows.groupBy("key").applyInPandas(_grouped, LINKS), "links")
-    removed(texts.sparkSession, few)
+    removed(texts.sparkSession, few, meet)
     return out
 
 
 def rarest(texts: DataFrame) -> DataFrame:
-    """(key, node): the rarest shingles of each text, one more than it can do without and still be similar; those of one text only left out."""
+    """(key, node): the rarest shingles of each text, one more than it can do without and still be similar; those of one text only left out.
+
+    Any order that is the same for all texts will do, so shingles are counted by
+    cells, whose number is fixed: no shingle travels, and none is joined.
+    """
+    shift = np.uint64(64 - ORDER_BITS)
+
+    def counted(batches):
+        often = np.zeros(1 << ORDER_BITS, np.int64)
+        for batch in batches:
+            for _, _, buf, offs in K.slices(batch.column(0)):
+                np.add.at(often, (_distinct(buf, offs)[0] >> shift).astype(np.int64), 1)
+        cell = np.flatnonzero(often)
+        for i in range(0, len(cell), 1 << 16):
+            yield pa.RecordBatch.from_arrays([pa.array(x[i : i + (1 << 16)]) for x in (cell, often[cell])], ["cell", "n"])
+
+    found = texts.select("text").mapInArrow(counted, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
+    often = np.zeros(1 << ORDER_BITS, np.int32)
+    often[found.column("cell").to_numpy()] = np.minimum(found.column("n").to_numpy(), 2**31 - 1)
+    sent = texts.sparkSession.sparkContext.broadcast(often)
 
     def run(batches):
         for batch in batches:
             for a, b, buf, offs in K.slices(batch.column(1)):
-                h, cut = shingle_hashes(buf, offs, SHINGLE)
-                for node, x, y in zip(batch.column(0)[a:b].to_pylist(), cut[:-1].tolist(), cut[1:].tolist()):
-                    own = np.unique(h[x:y])
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(own), node, np.int64)), pa.array(K.signed(own))], ["node", "key"])
-
-    tokens = written(texts.mapInArrow(run, "node long, key long"), "tokens")
-    often = tokens.groupBy("key").agg(F.count("*").alias("often"))
-    own = tokens.join(often, "key").groupBy("node").agg(F.sort_array(F.collect_list(F.struct("often", "key"))).alias("all"))
-    n = F.size("all")
-    spare = n - F.ceil(n * F.lit(SIMILAR) - 1e-9).cast("int") + 1
-    out = written(own.select("node", F.inline(F.slice("all", 1, spare))).where("often > 1").select("key", "node"), "rarest")
-    removed(texts.sparkSession, tokens)
-    return out
+                h, doc = _distinct(buf, offs)
+                times = sent.value[(h >> shift).astype(np.int64)]
+                order = np.lexsort((h, times, doc))
+                h, doc, times = h[order], doc[order], times[order]
+                n = np.bincount(doc, minlength=b - a)
+                spare = n - np.ceil(n * SIMILAR - 1e-9).astype(np.int64) + 1
+                place = np.arange(len(h)) - np.repeat(np.cumsum(n) - n, n)
+                own = (place < spare[doc]) & (times > 1)
+                yield pa.RecordBatch.from_arrays([pa.array(K.signed(h[own])), batch.column(0).take(pa.array(doc[own] + a))], ["key", "node"])
+
+    return texts.select("node", "text").mapInArrow(run, "key long, node long")
 
 
 def _by_rounds(mixed: DataFrame, texts: DataFrame) -> list[DataFrame]:
@@ -335,9 +433,9 @@ def _by_rounds(mixed: DataFrame, texts: DataFrame) -> list[DataFrame]:
 
 
 def _texts(rows: DataFrame, nodes: DataFrame) -> DataFrame:
-    """(node, text) of the written table of nodes; written."""
+    """(node, text, cells) of the written table of nodes; written."""
     own = rows.select(F.col("id").alias("node"), F.coalesce("text", F.lit("")).alias("text")).join(_sent(nodes), "node")
-    return written(own.groupBy("node").agg(F.first("text").alias("text")), "texts")
+    return written(celled(own.groupBy("node").agg(F.first("text").alias("text"))), "texts")
 
 
 def repeats(rows: DataFrame) -> DataFrame:
@@ -374,17 +472,18 @@ def repeats(rows: DataFrame) -> DataFrame:
     done += [parts, mixed]
     if not (hot := mixed.where(F.col("n") > SMALL)).isEmpty():
         crowd = written(hot.select("node").distinct(), "crowd")
-        own = rarest(texts.join(_sent(crowd), "node", "left_semi"))
+        own = written(rarest(texts.join(_sent(crowd), "node", "left_semi")), "rarest")
         known = own.join(parts, "node", "left").select("key", "node", F.coalesce("label", "node").alias("part"))
         again = known.groupBy("key").agg(F.min("node").alias("first"), F.count("*").alias("n"), F.min("part").alias("low"), F.max("part").alias("high"))
         again = written(again.where("low < high").select("key", "first", "n"), "buckets")
-        pairs = own.join(again, "key").where("node <> first").select(F.col("node").alias("a"), F.col("first").alias("b"))
+        met = written(own.join(again, "key"), "again")
+        pairs = met.where("node <> first").select(F.col("node").alias("a"), F.col("first").alias("b"))
         links.append(verified(_across(pairs, parts), texts))
         every = links[0].union(links[1]).union(links[2]).union(links[3])
-        open_ = _mixed(own.join(again, "key"), components(every))
+        open_ = _mixed(met, components(every))
         links.append(_settled(open_, texts))
         links += _by_rounds(open_, texts)
-        done += [crowd, own, again, open_]
+        done += [crowd, own, again, met, open_]
     every = links[0]
     for part in links[1:]:
         every = every.union(part)

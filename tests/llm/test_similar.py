@@ -1,4 +1,7 @@
 import random
+from itertools import combinations
+
+import numpy as np
 
 from foliant.llm import similar
 
@@ -93,5 +96,76 @@ def test_groups_are_closed_over_links(spark, monkeypatch):
     assert {r["id"] for r in similar.repeats(frame).collect()} == want
 
 
+def passages(rng, count, length=200):
+    """Texts of one passage of their own each, behind one that all share; every tenth is like the one before it."""
+    word = lambda: f"w{rng.randrange(10**6)}"
+    common, texts = [word() for _ in range(length)], []
+    for k in range(count):
+        own = texts[-1].split()[length:] if k % 10 == 9 else [word() for _ in range(length)]
+        texts.append(" ".join([*common, *own[:-3], *(word() for _ in range(3))]))
+    return texts
+
+
+def test_rarest_shingles_need_no_join_and_hold_every_link(spark):
+    texts = passages(random.Random(13), 60)
+    frame = docs(spark, texts).selectExpr("doc_id as node", "text")
+    found = similar.rarest(frame)
+    assert "Join" not in found._jdf.queryExecution().toString() and "Exchange" not in found._jdf.queryExecution().toString()
+    keys = {}
+    for r in found.collect():
+        keys.setdefault(r["node"], set()).add(r["key"])
+    s = [shingles(t) for t in texts]
+    assert all(keys[i] & keys[j] for i, j in combinations(range(60), 2) if jaccard(s[i], s[j]) >= 0.8)
+    assert not keys.get(0, set()) & keys.get(1, set())  # the common passage is none of the rarest
+
+
+def test_texts_of_pairs_that_cannot_be_alike_stay_where_they_are(spark, monkeypatch):
+    texts = [*passages(random.Random(14), 30), None, "", "one two", "one two three"]
+    s = [shingles(t) for t in texts]
+    frame = docs(spark, texts).selectExpr("doc_id as id", "text")
+    nodes = frame.selectExpr("id as node").distinct()
+    rows, seen, keep = similar._texts(frame, nodes), {}, similar.written
+    monkeypatch.setattr(similar, "written", lambda df, name: seen.setdefault(name + "+" * (name in seen), keep(df, name)))
+    monkeypatch.setattr(similar, "removed", lambda *_: None)
+    pairs = nodes.toDF("a").crossJoin(nodes.toDF("b")).where("a < b")
+    links = {(r["a"], r["b"]) for r in similar.verified(pairs, rows).collect()}
+    assert links == {(i, j) for i, j in combinations(range(len(texts)), 2) if jaccard(s[i], s[j]) >= 0.8}
+    sent = {(r["a"], r["b"]) for r in seen["likely"].collect()}
+    assert links <= sent and len(sent) < 20
+
+
+def test_cells_never_refuse_alike_texts(spark):
+    rng = random.Random(15)
+    base = [str(rng.randrange(10**9)) for _ in range(40_000)]  # over 255 shingles in a cell
+    texts = [" ".join(base), " ".join(base[:33_000]), " ".join(base[:30_000]), "", "a", "a b c d e", "a b c d e f"]
+    rows = similar.celled(docs(spark, texts).selectExpr("doc_id as node", "text")).orderBy("node").select("cells").toArrow()
+    cells, s = similar._cells(rows.column(0).combine_chunks()), [shingles(t) for t in texts]
+    for i, j in combinations(range(len(texts)), 2):
+        if jaccard(s[i], s[j]) >= 0.8:
+            assert similar.possible(cells[[i]], cells[[j]]).all()
+    assert not similar.possible(cells[[0]], cells[[2]]).any() and not similar.possible(cells[[0]], cells[[4]]).any()
+
+
+def test_near_fingerprints_are_connected_whatever_bits_differ(spark):
+    rng = random.Random(16)
+    prints = []
+    for k in range(90):
+        f = rng.getrandbits(64)
+        prints += [f, f ^ sum(1 << b for b in rng.sample(range(64), k % 6))]
+    prints = list(dict.fromkeys(prints))
+    far = [rng.getrandbits(64) for _ in prints]
+    rows = [(i, *np.array([f, g, h], np.uint64).view(np.int64).tolist()) for i, (f, g, h) in enumerate(zip(prints, far, reversed(far)))]
+    links = similar.near_prints(spark.createDataFrame(rows, "node long, f0 long, f1 long, f2 long"))
+    plan = links._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("explode(") < plan.index("hashpartitioning")  # the asking is told apart after the exchange
+    label = list(range(len(prints)))
+    for r in links.collect():
+        x, y = label[r["a"]], label[r["b"]]
+        label = [min(x, y) if v in (x, y) else v for v in label]
+    for i, j in combinations(range(len(prints)), 2):
+        near = any((a ^ b).bit_count() <= 5 for a, b in ((prints[i], prints[j]), (far[i], far[j])))
+        assert not near or label[i] == label[j]
+
+
 def test_empty(spark):
     assert similar.repeats(docs(spark, ["x"]).where("doc_id > 1").selectExpr("doc_id as id", "text")).count() == 0
