@@ -61,6 +61,8 @@ PAIRS = 1 << 19
 CELLS = 128
 #: The rarest shingles are told by counts in 2**ORDER_BITS cells; where shingles share a cell the order is coarser, the links are the same.
 ORDER_BITS = 20
+#: Table rows and probes of fingerprints that a task sorts, about.
+ROWS_SORTED = 400_000
 #: Rows of up to five longs that are broadcast at most (40 MB); more are joined by an exchange.
 MOST_SENT = 1_000_000
 MULTIPLIERS, OFFSETS = np.random.default_rng(20240502).integers(0, 1 << 64, (2, BANDS * ROWS), dtype=np.uint64) | np.array([[1], [0]], np.uint64)
@@ -186,7 +188,9 @@ def near_prints(nodes: DataFrame) -> DataFrame:
             slot = F.shiftleft(key.bitwiseOR(F.lit((f * SEGMENTS + s) << 32)), 1)
             for m in _ball(bits - LOW, radius):
                 rows.append(F.struct(slot.bitwiseXOR(F.lit(m << LOW + 1)).alias("slot"), F.col(f"f{f}").alias("fp"), F.lit(m.bit_count()).cast("byte").alias("bits")))
-    rows = nodes.select("node", F.inline(F.array(*rows))).repartition(F.shiftright("slot", LOW + 1))
+    # so many places that a task sorts some ROWS_SORTED rows, whatever is sent: Spark would put places together by the bytes sent
+    places = nodes.count() * sum(1 + len(_ball(BOUNDS[s + 1] - BOUNDS[s], radius)) for s in range(SEGMENTS)) * 3 // ROWS_SORTED
+    rows = nodes.select("node", F.inline(F.array(*rows))).repartition(1 + min(places, 1535), F.shiftright("slot", LOW + 1))
     asks = [[m << 1 | 1 for m in _ball(LOW, radius - k)] for k in range(radius + 1)]
     masks = F.array(*[F.array(*[F.lit(m).cast("long") for m in ([0] if k == 0 else []) + own]) for k, own in enumerate(asks)])
     rows = rows.select("slot", "fp", "node", F.explode(F.get(masks, "bits")).alias("mask"))
