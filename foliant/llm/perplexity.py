@@ -26,6 +26,8 @@ ORDER = 3
 BINS, BIN = 16_384, 1 / 1024
 LOW, HIGH, BAND = 0.25, 0.75, 8.0
 SHORT = 300
+#: Bytes of texts that a worker counts or scores at once, or one text: each code point is a dozen numbers of eight bytes meanwhile.
+SLICE_BYTES = 1 << 18
 #: No code point costs more than this: one identifier, number or foreign line does not condemn a text.
 MOST_LOSS = 4.5
 SYMBOLS = np.zeros(256, bool)
@@ -143,27 +145,28 @@ def model_name(lang) -> F.Column:
     return F.when(lang.isNull(), F.lit(0).cast("long")).otherwise(F.xxhash64(lang.cast("string")))
 
 
+def _counts(batches):
+    """The n-grams of (model, text) batches with their counts, one row for each in a slice."""
+    for batch in batches:
+        models = batch.column(0).to_numpy()
+        for a, b, buf, offs in K.slices(batch.column(1), SLICE_BYTES):
+            points, cut = _points(buf, offs)
+            model = np.repeat(models[a:b], np.diff(cut))
+            found = grams(points, cut)
+            for n in range(1, ORDER + 1):
+                h = found[n - 1]
+                context = _contexts(found, n) if n > 1 else np.zeros(len(h), np.int64)
+                suffix = found[n - 2] if n > 1 else np.zeros(len(h), np.int64)
+                ok = np.flatnonzero(h >= 0)
+                codes, first = _kinds(_keys(model[ok], h[ok]))
+                at = ok[first]
+                columns = (model[at], np.full(len(at), n), h[at], context[at], suffix[at], np.bincount(codes, minlength=len(at)))
+                yield pa.RecordBatch.from_arrays([pa.array(x.astype(np.int64)) for x in columns], ["model", "n", "h", "context", "suffix", "c"])
+
+
 def counted(docs: DataFrame) -> DataFrame:
     """(model, n, h, context, suffix, c) of all n-grams of ``docs`` (model, text), one row for each."""
-
-    def run(batches):
-        for batch in batches:
-            models = batch.column(0).to_numpy()
-            for a, b, buf, offs in K.slices(batch.column(1)):
-                points, cut = _points(buf, offs)
-                model = np.repeat(models[a:b], np.diff(cut))
-                found = grams(points, cut)
-                for n in range(1, ORDER + 1):
-                    h = found[n - 1]
-                    context = _contexts(found, n) if n > 1 else np.zeros(len(h), np.int64)
-                    suffix = found[n - 2] if n > 1 else np.zeros(len(h), np.int64)
-                    ok = np.flatnonzero(h >= 0)
-                    codes, first = _kinds(_keys(model[ok], h[ok]))
-                    at = ok[first]
-                    columns = (model[at], np.full(len(at), n), h[at], context[at], suffix[at], np.bincount(codes, minlength=len(at)))
-                    yield pa.RecordBatch.from_arrays([pa.array(x.astype(np.int64)) for x in columns], ["model", "n", "h", "context", "suffix", "c"])
-
-    rows = docs.mapInArrow(run, "model long, n long, h long, context long, suffix long, c long")
+    rows = docs.mapInArrow(_counts, "model long, n long, h long, context long, suffix long, c long")
     return rows.groupBy("model", "n", "h").agg(F.min("context").alias("context"), F.min("suffix").alias("suffix"), F.sum("c").alias("c"))
 
 
@@ -246,6 +249,18 @@ class Model:
 
 
 # ---------------------------------------------------------------- the operator
+def _scores(batches, model: Model):
+    """The base counts and log perplexities of (model, text, id, carried columns) batches."""
+    for batch in batches:
+        models = batch.column(0).to_numpy()
+        for a, b, buf, offs in K.slices(batch.column(1), SLICE_BYTES):
+            base = base_counts(buf, offs)
+            log_ppl, n = model.scores(buf, offs, models[a:b])
+            failed = (base["n_words"] < 10) | (100 * base["n_repeat_words"] > 20 * base["n_words"])
+            columns = [batch.column(2)[a:b], batch.column(0)[a:b], *(pa.array(v.astype(np.int64)) for v in base.values()), pa.array(failed), pa.array(log_ppl), pa.array(n), *(c[a:b] for c in batch.columns[3:])]
+            yield pa.RecordBatch.from_arrays(columns, ["id", "model", *base, "base_failed", "log_ppl", "n_points", *batch.schema.names[3:]])
+
+
 def scored(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", carry: tuple[str, ...] = ()) -> DataFrame:
     """(id, model, the base counts, base_failed, log_ppl, n_points) of every row, written to the shared folder; then ``carry``, as k_<name>."""
     spark = docs.sparkSession
@@ -254,14 +269,7 @@ def scored(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang
     model = spark.sparkContext.broadcast(Model(counted(frame.select("model", "text")).toArrow().to_pandas()))
 
     def run(batches):
-        for batch in batches:
-            models = batch.column(0).to_numpy()
-            for a, b, buf, offs in K.slices(batch.column(1)):
-                base = base_counts(buf, offs)
-                log_ppl, n = model.value.scores(buf, offs, models[a:b])
-                failed = (base["n_words"] < 10) | (100 * base["n_repeat_words"] > 20 * base["n_words"])
-                columns = [batch.column(2)[a:b], batch.column(0)[a:b], *(pa.array(v.astype(np.int64)) for v in base.values()), pa.array(failed), pa.array(log_ppl), pa.array(n), *(c[a:b] for c in batch.columns[3:])]
-                yield pa.RecordBatch.from_arrays(columns, ["id", "model", *base, "base_failed", "log_ppl", "n_points", *batch.schema.names[3:]])
+        yield from _scores(batches, model.value)
 
     schema = "id long, model long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, log_ppl double, n_points long"
     return written(frame.mapInArrow(run, schema + kept_types(frame, 3)), "scores")
